@@ -2,13 +2,211 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from palmleaf.functions import arrays as A
+from palmleaf.functions import text as X
+from palmleaf.operators import curation as C
+from palmleaf.operators import dictionary as D
+from palmleaf.operators import examples as E
+from palmleaf.operators import quality as Q
+from palmleaf.operators import split as S
 from palmleaf.operators.packed import unpack
+from palmleaf.plans import oracles as O
 from palmleaf.runtime import read_table
+from palmleaf.sources import tables
+
+
+def _dictionary(spark, d):
+    return read_table(spark, d, "clean_dictionary").withColumnRenamed("entry_id", "pos")
+
+
+def _pairs(spark, d):
+    return read_table(spark, d, "train").withColumnRenamed("record_id", "pos")
+
+
+def _talks(spark, d):
+    return read_table(spark, d, "raw_conversations").withColumnRenamed("conv_id", "pos")
 
 
 def p1_found(spark, d):
     return unpack(read_table(spark, d, "clean_dictionary"), "entry_id", "tulu")
 
 
-QUERIES = {"p1_found": p1_found}
-ORACLES: dict[str, str] = {}
+def dictionary_clean(spark, d):
+    return D.clean(_dictionary(spark, d))
+
+
+def dictionary_standardize(spark, d):
+    return D.standardize(_dictionary(spark, d))
+
+
+def dictionary_issues(spark, d):
+    return D.issues(_dictionary(spark, d))
+
+
+def dictionary_issue_summary(spark, d):
+    return D.count_by(D.issues(_dictionary(spark, d)), "issue")
+
+
+def dictionary_severity_summary(spark, d):
+    return D.count_by(D.issues(_dictionary(spark, d)), "severity")
+
+
+def dictionary_fix(spark, d):
+    return D.fix(_dictionary(spark, d))
+
+
+def dictionary_fix_from_report(spark, d):
+    return D.fix_from_report(_dictionary(spark, d), read_table(spark, d, "validation_report"))
+
+
+def instruction_pairs(spark, d):
+    return D.instruction_pairs(_dictionary(spark, d))[0]
+
+
+def instruction_quarantine(spark, d):
+    return D.instruction_pairs(_dictionary(spark, d))[1]
+
+
+def conversation_pairs(spark, d):
+    return D.conversation_pairs(_talks(spark, d))
+
+
+def merge_corpus(spark, d):
+    made = D.instruction_pairs(_dictionary(spark, d))[0].withColumn("pos", F.col("pos") * 5 + F.col("template_no"))
+    return D.merge([made, D.conversation_pairs(_talks(spark, d))])
+
+
+def improve_corpus(spark, d):
+    return C.improve(_pairs(spark, d))
+
+
+def improve_report(spark, d):
+    return C.improve_report(_pairs(spark, d))
+
+
+def filter_v1(spark, d):
+    return C.kept(C.classify_v1(_pairs(spark, d)))
+
+
+def filter_v1_removed(spark, d):
+    return C.removed(C.classify_v1(_pairs(spark, d)))
+
+
+def filter_v1_report(spark, d):
+    return C.filter_report(C.classify_v1(_pairs(spark, d)), True)
+
+
+def filter_v2(spark, d):
+    return C.kept(C.classify_v2(_pairs(spark, d)))
+
+
+def filter_v2_removed(spark, d):
+    return C.removed(C.classify_v2(_pairs(spark, d)), cleaned=False)
+
+
+def filter_v2_report(spark, d):
+    return C.filter_report(C.classify_v2(_pairs(spark, d)), False)
+
+
+def duplicate_flags(spark, d):
+    return Q.duplicate_flags(_pairs(spark, d))
+
+
+def suspicious_records(spark, d):
+    return Q.suspicious(_pairs(spark, d))
+
+
+def validate_corpus(spark, d):
+    return Q.validate(_pairs(spark, d))
+
+
+def split_assign(spark, d):
+    return S.assign(_pairs(spark, d))
+
+
+def split_stats(spark, d):
+    return S.stats(S.assign(_pairs(spark, d)))
+
+
+def _three(spark, d):
+    out = None
+    for name in ("train", "validation", "test"):
+        one = read_table(spark, d, name).select(F.lit(name).alias("split"), "instruction", "response")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def split_pair_leaks(spark, d):
+    return S.leaks(_three(spark, d), S.pair_key())
+
+
+def split_word_leaks(spark, d):
+    return S.leaks(_three(spark, d), X.casefold(X.template_word(F.coalesce("instruction", F.lit("")))))
+
+
+def chat_render(spark, d):
+    x = _pairs(spark, d).select("pos", X.strip(F.col("instruction")).alias("i"), X.strip(F.col("response")).alias("r")).filter("i <> '' AND r <> ''")
+    return x.select("pos", E.render_prompt(F.col("i")).alias("prompt"), E.render_full(F.col("i"), F.col("r")).alias("full_text"))
+
+
+def chat_turns(spark, d):
+    x = read_table(spark, d, "raw_conversations").na.drop(subset=["tulu_text", "response_tulu"])
+    turns = F.array(*(F.struct(F.lit(role).alias("role"), X.strip(F.col(c)).alias("content")) for role, c in (("user", "tulu_text"), ("assistant", "response_tulu"))))
+    return x.select("conv_id", E.render_turns(turns).alias("rendered"))
+
+
+def label_mask(spark, d):
+    return E.examples(_pairs(spark, d))
+
+
+def padded_batches(spark, d):
+    return E.pad_batches(E.examples(_pairs(spark, d)))
+
+
+def token_efficiency(spark, d):
+    return E.token_efficiency(read_table(spark, d, "documents"))
+
+
+def best_tokenizer(spark, d):
+    return E.best_tokenizer(E.token_efficiency(read_table(spark, d, "documents")))
+
+
+def scalar_functions(spark, d):
+    r = F.col("response")
+    return _pairs(spark, d).select(
+        "pos", X.collapse_spaces(r).alias("squeezed"), X.standardize(r).alias("standardized"), X.fix_format(r).alias("fix_formatted"), X.remove_digits(r).alias("no_digits"), X.remove_special(r).alias("no_special"),
+        X.collapse_punctuation(r).alias("one_mark"), X.no_space_before_punctuation(r).alias("tight_marks"), X.casefold(r).alias("folded"), F.length(r).alias("characters"), F.replace(r, F.lit(" "), F.lit("")).alias("no_spaces"),
+        X.has_latin(r).alias("latin"), X.has_digit(r).alias("digit"), X.has_special(r).alias("special"), X.has_double_comma(r).alias("double_comma"), X.has_double_space(r).alias("double_space"), X.has_repeated_mark(r).alias("repeated_mark"), X.has_abbreviation(r).alias("abbreviation"),
+        A.meanings(r).alias("parts"), A.first(A.meanings(r)).alias("first_part"),
+    )
+
+
+def first_rows(spark, d):
+    return tables.first_rows(_pairs(spark, d).select("pos", "instruction", "response"), 10)
+
+
+def run_projection(spark, d):
+    n = read_table(spark, d, "train").agg(F.count(F.lit(1)).alias("n"))
+    sizes = n.select("n", F.explode(F.array(F.lit(16), F.lit(32), F.lit(64))).alias("batch_size"))
+    return sizes.select("batch_size", E.project_run(F.lit(20), F.lit(94.0), F.col("n"), F.col("batch_size"), F.lit(3)).alias("hours"))
+
+
+def templates(spark, d):
+    return tables.literal(spark, list(X.TEMPLATES), "template")
+
+
+_ALL = (
+    p1_found, dictionary_clean, dictionary_standardize, dictionary_issues, dictionary_issue_summary, dictionary_severity_summary, dictionary_fix, dictionary_fix_from_report, instruction_pairs, instruction_quarantine,
+    conversation_pairs, merge_corpus, improve_corpus, improve_report, filter_v1, filter_v1_removed, filter_v1_report, filter_v2, filter_v2_removed, filter_v2_report, duplicate_flags, suspicious_records, validate_corpus,
+    split_assign, split_stats, split_pair_leaks, split_word_leaks, chat_render, chat_turns, label_mask, padded_batches, token_efficiency, best_tokenizer, scalar_functions, first_rows, run_projection, templates,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES = {
+    "dictionary_clean": O.CLEAN, "dictionary_standardize": O.STANDARD, "dictionary_issues": O.ISSUES, "dictionary_issue_summary": O.ISSUE_SUMMARY, "dictionary_severity_summary": O.SEVERITY_SUMMARY,
+    "dictionary_fix": O.FIXED, "dictionary_fix_from_report": O.REPORT_FIXED, "instruction_pairs": O.PAIRS + "SELECT * FROM p", "instruction_quarantine": O.NO_MEANING, "conversation_pairs": O.CONVERSATIONS, "merge_corpus": O.MERGED,
+    "improve_corpus": O.IMPROVED, "improve_report": O.IMPROVE_REPORT, "filter_v1": O.KEPT_1, "filter_v1_removed": O.REMOVED_1, "filter_v1_report": O.REPORT_1, "filter_v2": O.KEPT_2, "filter_v2_removed": O.REMOVED_2, "filter_v2_report": O.REPORT_2,
+    "duplicate_flags": O.DUPLICATES, "suspicious_records": O.SUSPICIOUS, "validate_corpus": O.VALIDATION, "split_assign": O.SPLITS, "split_stats": O.SPLIT_STATS, "split_pair_leaks": O.PAIR_LEAKS, "split_word_leaks": O.WORD_LEAKS,
+    "chat_render": O.CHAT, "chat_turns": O.TURNS, "label_mask": O.MASKS, "padded_batches": O.PADDED, "token_efficiency": O.TOKENS, "best_tokenizer": O.BEST, "scalar_functions": O.SCALARS, "first_rows": O.PREVIEW, "run_projection": O.PROJECTION, "templates": O.LITERALS,
+}
