@@ -262,9 +262,10 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 15, rate: floa
     m = Model(np.zeros((len(LABELS), 1 << BITS), np.float32), np.zeros((len(LABELS), len(DENSE)), np.float32), np.full(len(LABELS), 0.5), {})
     gg, gd = np.full_like(m.grams, 1e-4), np.full_like(m.dense, 1e-2)
     scale = np.float32(20)  # grams are means over a text; this is their step against the dense features
+    batch = min(2048, max(64, len(order) // 40))  # a small sample still gets its number of steps
     for _ in range(epochs):
-        for lo in range(0, len(order), 2048):
-            at = order[lo : lo + 2048]
+        for lo in range(0, len(order), batch):
+            at = order[lo : lo + batch]
             cnt = begin[at + 1] - begin[at]
             ix = np.repeat(begin[at] - np.cumsum(cnt) + cnt, cnt) + np.arange(cnt.sum())
             who, b, w = np.repeat(np.arange(len(at)), cnt), bucket[ix], weight[ix]
