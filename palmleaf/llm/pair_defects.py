@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from palmleaf.llm.codepoints import U64, Words, chunks, clip, gram_hash, splitmix
 
+BY_PAIR = ("copy",)  # judged by pair features alone: no word makes a text a copy
+GRAM_STEP = 10.0  # grams are means over a text; this is their step against the pair features
 LABELS = ("empty", "refusal", "copy", "wrong_language", "truncated")
-BITS = 18
+BITS = 20
 # Fillers that stand in place of an answer.
 FILLERS = ("", " ", "\n", " ", "​", "-", "--", "_", "...", "…", "?", '""', "''", "()", "*", ".", "N/A", "n/a", "NA", "nan", "NaN", "null", "NULL", "none", "None", "nil", "TBD", "todo", "unknown", "no answer", "[empty]", "not available")
 # Phrases that decline to answer, put together as opening + body + ending.
@@ -43,10 +45,12 @@ LABEL_WORDS = ("Answer: ", "A: ", "Q: ", "Question: ", "Response: ", "Translatio
 ENDINGS = ".!?।॥。！？"
 PAIRS = {"(": ")", "[": "]", "{": "}", "“": "”", "«": "»", "「": "」"}
 OPENERS, CLOSERS = "".join(PAIRS), "".join(PAIRS.values())
+# Fixed value: where a question names its headword.
+ASKED = "[\"'“‘](.+)[\"'”’]|(?i:meaning of|translation of|word for|stands for) (.+?)[?.!\\s]*$|(?i:you say) (.+) (?i:in tulu)"
 KANNADA = (0x0C80, 0x0CFF)
 
 DENSE = (
-    "bias", "no_words", "short_plain", "no_kannada", "foreign_words", "mostly_foreign", "foreign_letters", "one_foreign", "all_copied", "copied_span", "copied_span_label", "copied_then_more",
+    "bias", "no_words", "short_plain", "hardly_kannada", "foreign_words", "mostly_foreign", "foreign_letters", "one_foreign", "all_copied", "copied_span", "copied_span_label", "copied_then_more",
     "left_open", "no_end", "sentences", "no_end_sentences", "prompt_kannada", "asks_sentence", "no_end_where_sentence", "long", "ends_with_comma", "list_like",
 )
 
@@ -143,9 +147,9 @@ def features(instruction: pa.Array, response: pa.Array) -> tuple[np.ndarray, np.
     asks = _sum(i.hash == Words(pa.array(["sentence"])).hash[0], i.row, n) > 0
     has = nr > 0
     cols = {
-        "bias": np.ones(n), "no_words": ~has, "short_plain": has & (nr <= 2) & (kw == 0), "no_kannada": has & (kw == 0) & (fw > 0), "foreign_words": has & (fw > kw) & (fw >= 2),
+        "bias": np.ones(n), "no_words": ~has, "short_plain": has & (nr <= 2) & (kw == 0), "hardly_kannada": has & (fw > 0) & (kw * 4 <= fw), "foreign_words": has & (fw > kw) & (fw >= 2),
         "mostly_foreign": has & (foreign * 2 > letters) & ((kw == 0) | (fw >= 2)), "foreign_letters": foreign / np.maximum(letters, 1), "one_foreign": has & (fw == 1) & (kw > 0),
-        "all_copied": has & (ns == nr), "copied_span": span, "copied_span_label": span_label & ~span, "copied_then_more": more,
+        "all_copied": has & (ns == nr), "copied_span": 2 * span, "copied_span_label": 2 * (span_label & ~span), "copied_then_more": more,
         "left_open": opened & has, "no_end": has & ~ended, "sentences": has & sentences, "no_end_sentences": has & ~ended & sentences, "prompt_kannada": conv, "asks_sentence": asks, "no_end_where_sentence": has & ~ended & (conv | asks) & (kw > 0),
         "long": nr >= 4, "ends_with_comma": has & _any_of(tail, ",:;-–—…"), "list_like": marks > 0,
     }
@@ -188,6 +192,9 @@ def synthesize(rows: list[tuple[str, str]], seed: int = 7) -> tuple[list[str], l
     ins, res, lab = [], [], []
 
     def add(i, r, *labels):
+        own = sum(KANNADA[0] <= ord(x) <= KANNADA[1] for x in r)
+        if sum(x.isalpha() for x in r) - own > max(own, 3) and labels:  # a refusal or copy in English is in another language too
+            labels = (*labels, "wrong_language")
         ins.append(i)
         res.append(r)
         lab.append([x in labels for x in LABELS])
@@ -202,8 +209,8 @@ def synthesize(rows: list[tuple[str, str]], seed: int = 7) -> tuple[list[str], l
         ref, apology = _refusal(rng)
         add(i, ref, "refusal")
         lead = LABEL_WORDS[rng.integers(len(LABEL_WORDS))]
-        head = re.search("[\"'“‘](.+)[\"'”’]", i)
-        what = head.group(1) if head and rng.random() < 0.5 else " ".join(i.split()[-int(rng.integers(1, 7)) :]) if not conv and rng.random() < 0.3 else i
+        head = re.search(ASKED, i)
+        what = next(filter(None, head.groups())) if head and rng.random() < 0.6 else i
         copied = lead + rng.choice([what, what, what.rstrip("?.!") + rng.choice(["", ".", "!"]), f"'{what}'", f"{what}, {what}", f"{what} {what}", what.lower()])
         add(i, copied, "copy")
         if english:
@@ -258,10 +265,11 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 15, rate: floa
     order = rng.permutation(np.flatnonzero(~held))
     begin = np.searchsorted(np.sort(grow), np.arange(n + 1))
     by = np.argsort(grow, kind="stable")
-    bucket, weight = bucket[by], weight[by]
-    m = Model(np.zeros((len(LABELS), 1 << BITS), np.float32), np.zeros((len(LABELS), len(DENSE)), np.float32), np.full(len(LABELS), 0.5), {})
+    used, bucket = np.unique(bucket[by], return_inverse=True)  # only the buckets that occur are trained
+    weight = weight[by]
+    m = Model(np.zeros((len(LABELS), len(used)), np.float32), np.zeros((len(LABELS), len(DENSE)), np.float32), np.full(len(LABELS), 0.5), {})
     gg, gd = np.full_like(m.grams, 1e-4), np.full_like(m.dense, 1e-2)
-    scale = np.float32(20)  # grams are means over a text; this is their step against the dense features
+    scale = np.float32(GRAM_STEP)
     batch = min(2048, max(64, len(order) // 40))  # a small sample still gets its number of steps
     for _ in range(epochs):
         for lo in range(0, len(order), batch):
@@ -275,10 +283,15 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 15, rate: floa
                 d = dense[at].T @ e / len(at)
                 gd[k] += d * d
                 m.dense[k] -= rate * d / np.sqrt(gd[k])
-                g = np.bincount(b, e[who] * w, minlength=1 << BITS).astype(np.float32) / len(at)
+                if LABELS[k] in BY_PAIR:
+                    continue
+                g = np.bincount(b, e[who] * w, minlength=len(used)).astype(np.float32) / len(at)
                 nz = np.flatnonzero(g)
                 gg[k, nz] += (g[nz] * scale) ** 2
                 m.grams[k, nz] -= rate * scale * g[nz] / np.sqrt(gg[k, nz])
+    grams = np.zeros((len(LABELS), 1 << BITS), np.float32)
+    grams[:, used] = m.grams
+    m.grams = grams
     test = np.flatnonzero(held)
     p = scores(m, pa.array([ins[t] for t in test], pa.string()), pa.array([res[t] for t in test], pa.string()))
     for k, name in enumerate(LABELS):
