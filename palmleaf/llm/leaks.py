@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -104,13 +106,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     shuffled. The items' index is broadcast in blocks of at most index_bytes of text, each block one pass over the
     documents; with more items than fit one block the passes follow one another.
 
-    Null, empty and short texts (under `window` words) match nothing; equal items each get their own rows; extra
+    Rows with a null id are left out. Null, empty and short texts (under `window` words) match nothing; equal items each get their own rows; extra
     columns on either side are ignored; empty tables give no rows.
     """
     it = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter(F.col("i").isNotNull() & F.col("t").isNotNull())
     total = it.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-int(total) // index_bytes))
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     out = None
     for k in range(blocks):
         part = it if blocks == 1 else it.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k)
@@ -125,8 +127,9 @@ _built: dict = {}
 
 
 def _scan(held, window, shingle, radius, similarity):
+    key = uuid.uuid4().hex  # of this index, in every worker process
+
     def run(batches):
-        key = (held.id, window, shingle, radius) if hasattr(held, "id") else id(held)
         ix = _built.get(key)
         if ix is None:
             ids, texts = held.value
@@ -167,10 +170,9 @@ def _scan(held, window, shingle, radius, similarity):
 
                 best = np.zeros(len(u))
                 np.maximum.at(best, inv, sim)
-                ids = np.asarray(part.column(0).to_numpy(zero_copy_only=False))[u // len(ix.no)]
-                ok = ids == ids
+                item = u % len(ix.no)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[ok]) for x in (ids.astype(np.float64) if ids.dtype == object else ids, ix.no[u % len(ix.no)], distinct(np.ones(len(b), bool)), distinct(exact), ix.size[u % len(ix.no)].astype(np.int64), best)],
+                    [part.column(0).take(pa.array(u // len(ix.no))), *map(pa.array, (ix.no[item], distinct(np.ones(len(b), bool)), distinct(exact), ix.size[item].astype(np.int64), best))],
                     names=["doc_id", "item_id", "windows", "exact_windows", "item_windows", "similarity"],
                 )
 
