@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palmleaf.runtime import hot_join, materialize
+from palmleaf.runtime import drop_materialized, hot_join, materialize
 
 # Marks that may part values, quotes with their ends, texts that stand for null.
 MARKS = ",;|/，、；｜／·•・‧¦،؛\t\n\r  "
@@ -135,27 +135,32 @@ def clean(v: str) -> str:
     return v
 
 
-def lattice(s: str) -> tuple[list[str], list[tuple[int, int, str]]]:
-    """(kinds of the cuts between atoms, edges (first atom, last atom + 1, value))."""
+Edge = tuple[int, int, str, str, str]  # first atom, last atom + 1, value, kind of the cut after it ("" at the end), of the cuts inside
+ITEM_KIND = "#"
+
+
+def lattice(s: str) -> list[Edge]:
+    """The edges of a cell's lattice, in order of their first atom."""
     atoms, kinds = parse(s)
     n = len(atoms)
-    return kinds, [(i, j, clean(s[atoms[i][0] : atoms[j - 1][1]])) for i in range(n) for j in range(i + 1, min(n, i + MAX_SPAN) + 1)]
+    marks = "".join(ITEM_KIND if k == "item" else k for k in kinds)
+    return [(i, j, clean(s[atoms[i][0] : atoms[j - 1][1]]), marks[j - 1 : j], marks[i : j - 1]) for i in range(n) for j in range(i + 1, min(n, i + MAX_SPAN) + 1)]
 
 
-def _edge_scores(edges, kinds, counts, rates):
+def _edge_scores(edges: list[Edge], counts, rates) -> list[float]:
     """Log score of every edge: how familiar its value is in the other cells of the column, a base measure of its
     length where it is not, and the rates of its cuts: the one after it parts values, the ones inside it do not.
 
     Familiarity c / (c + 1), not c / all, so that a list is not taken for one value merely because it is repeated.
     """
     out = []
-    for (i, j, v), c in zip(edges, counts):
+    for (_, _, v, cut, inner), c in zip(edges, counts):
         c = max(c, 0.0)
         p = math.log((c + math.exp(-(min(len(v), 150) + 1) * math.log(CHARS))) / (c + 1.0))
-        for k in range(i, j - 1):
-            p += math.log(1 - rates.get(kinds[k], 0.9))
-        if j - 1 < len(kinds):
-            p += math.log(rates.get(kinds[j - 1], 0.9))
+        for k in inner:
+            p += math.log(1 - rates.get(k, 0.9))
+        if cut:
+            p += math.log(rates.get(cut, 0.9))
         out.append(p)
     return out
 
@@ -170,17 +175,17 @@ def posteriors(n: int, edges, scores) -> list[float]:
     """Probability of each edge, by forward and backward sums."""
     ahead, back = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
     ahead[0] = back[n] = 0.0
-    for (i, j, _), s in zip(edges, scores):
+    for (i, j, *_), s in zip(edges, scores):
         ahead[j] = _add(ahead[j], ahead[i] + s)
-    for (i, j, _), s in zip(reversed(edges), reversed(scores)):
+    for (i, j, *_), s in zip(reversed(edges), reversed(scores)):
         back[i] = _add(back[i], back[j] + s)
-    return [math.exp(min(0.0, ahead[i] + s + back[j] - ahead[n])) for (i, j, _), s in zip(edges, scores)]
+    return [math.exp(min(0.0, ahead[i] + s + back[j] - ahead[n])) for (i, j, *_), s in zip(edges, scores)]
 
 
 def viterbi(n: int, edges, scores) -> list[str]:
     best: list = [(-math.inf, None)] * (n + 1)
     best[0] = (0.0, None)
-    for k, ((i, j, _), s) in enumerate(zip(edges, scores)):
+    for k, ((i, j, *_), s) in enumerate(zip(edges, scores)):
         if best[i][0] + s > best[j][0]:
             best[j] = (best[i][0] + s, k)
     out, at = [], n
@@ -191,20 +196,24 @@ def viterbi(n: int, edges, scores) -> list[str]:
     return out[::-1]
 
 
-EDGES = "cell STRING, n BIGINT, kinds ARRAY<STRING>, i INT, j INT, value STRING, post DOUBLE"
+EDGES = "cid BIGINT, n BIGINT, i INT, j INT, value STRING, cut STRING, inside STRING, post DOUBLE"
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64()]
+_NAMES = ["cid", "n", "i", "j", "value", "cut", "inside", "post"]
+
+
+def _table(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
 
 
 def _spread(batches):
     for batch in batches:
         rows = []
-        for cell, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if is_null_text(cell):
-                continue
-            kinds, edges = lattice(cell)
-            if not kinds:
+        for cell, n, cid in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            edges = [] if is_null_text(cell) else lattice(cell)
+            if len(edges) < 2:
                 continue
-            post = posteriors(len(kinds) + 1, edges, [math.log(0.9) * (j - 1 < len(kinds)) + math.log(0.1) * (j - i - 1) for i, j, _ in edges])
-            rows.extend((cell, n, kinds, i, j, v, p) for (i, j, v), p in zip(edges, post))
+            first = [math.log(0.9) * bool(e[3]) + math.log(0.1) * len(e[4]) for e in edges]
+            rows.extend((cid, n, *e, p) for e, p in zip(edges, posteriors(edges[-1][1], edges, first)))
             if len(rows) > 50_000:
                 yield _table(rows)
                 rows = []
@@ -212,14 +221,6 @@ def _spread(batches):
             yield _table(rows)
 
 
-_TYPES = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.string(), pa.float64()]
-_NAMES = ["cell", "n", "kinds", "i", "j", "value", "post"]
-
-
-def _table(rows):
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
-
-
 def unpack(df: DataFrame, key: str, column: str, *, rounds: int = 2) -> DataFrame:
     """(key, pos, value): one row per value of the cells of `column` that hold two or more, pos counted from 1.
 
@@ -231,42 +232,48 @@ def unpack(df: DataFrame, key: str, column: str, *, rounds: int = 2) -> DataFram
     repeated rows each give theirs; other columns are ignored, whatever their names. Empty tables give no rows.
     """
     base = df.select(F.col(key).alias("k"), F.col(column).cast("string").alias("cell")).filter(F.col("cell").isNotNull())
-    cells = materialize(base.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells")
+    cells = materialize(base.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn("cid", F.monotonically_increasing_id()), "cells")
     edges = materialize(cells.mapInArrow(_spread, EDGES), "lattice")
     rates: dict[str, float] = {}
 
     def scored():
         counts = edges.groupBy("value").agg(F.sum(F.col("n") * F.col("post")).alias("c"))
-        with_counts = edges.join(counts, "value").withColumn("c", F.greatest(F.lit(0.0), F.col("c") - F.col("n") * F.col("post")))
-        grouped = with_counts.groupBy("cell").agg(F.first("n").alias("n"), F.first("kinds").alias("kinds"), F.sort_array(F.collect_list(F.struct("i", "j", "value", "c"))).alias("edges"))
-        return grouped
+        others = edges.join(counts, "value").withColumn("c", F.greatest(F.lit(0.0), F.col("c") - F.col("n") * F.col("post")))
+        return others.groupBy("cid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("i", "j", "value", "cut", "inside", "c"))).alias("edges"))
 
     for _ in range(rounds):
         # How often each kind of cut parts values: an edge's last cut is taken, its inner ones are not. A beta prior of
         # 18 to 2 stands for the marks being list marks until the column says otherwise.
-        used = edges.filter(F.col("j") <= F.size("kinds")).groupBy(F.col("kinds")[F.col("j") - 1].alias("kind")).agg(F.sum(F.col("n") * F.col("post")).alias("on"))
-        inner = edges.filter("j - i > 1").select("n", "post", F.explode(F.slice(F.col("kinds"), F.col("i") + 1, F.col("j") - F.col("i") - 1)).alias("kind")).groupBy("kind").agg(F.sum(F.col("n") * F.col("post")).alias("off"))
+        weight = F.col("n") * F.col("post")
+        used = edges.filter("cut <> ''").groupBy(F.col("cut").alias("kind")).agg(F.sum(weight).alias("on"))
+        inner = edges.filter("inside <> ''").select("n", "post", F.explode(F.split("inside", "")).alias("kind")).groupBy("kind").agg(F.sum(weight).alias("off"))
         seen = used.join(inner, "kind", "full").select("kind", F.coalesce("on", F.lit(0.0)), F.coalesce("off", F.lit(0.0))).collect()  # at most one row per mark
-        first = not rates
-        rates = {r[0]: 0.9 if first else min(0.999, max(0.001, (r[1] + 18) / (r[1] + r[2] + 20))) for r in seen}
-        edges = materialize(scored().mapInArrow(_learn(rates), EDGES), "lattice")
-    decoded = materialize(scored().mapInArrow(_decode(rates), "cell STRING, parts ARRAY<STRING>"), "decoded")
-    rows = hot_join(base, decoded, "cell", cells)
+        rates = {r[0]: min(0.999, max(0.001, (r[1] + 18) / (r[1] + r[2] + 20))) for r in seen} if rates else {r[0]: 0.9 for r in seen}
+        learned = materialize(scored().mapInArrow(_learn(rates), EDGES), "lattice")
+        drop_materialized(edges)
+        edges = learned
+    decoded = scored().mapInArrow(_decode(rates), "cid BIGINT, parts ARRAY<STRING>").join(cells.select("cid", "cell"), "cid").select("cell", "parts")
+    rows = hot_join(base, materialize(decoded, "decoded"), "cell", cells.select("cell", "n"))
     return rows.select(F.col("k").alias(key), F.posexplode("parts").alias("pos", "value")).withColumn("pos", (F.col("pos") + 1).cast("int"))
 
 
 def _cells(batch):
-    for cell, n, kinds, es in zip(*(batch.column(c).to_pylist() for c in range(4))):
-        yield cell, n, kinds, [(e["i"], e["j"], e["value"]) for e in es], [e["c"] for e in es]
+    """(cell id, copies, edges, counts) of each row, by columns: no object per edge beyond the edge itself."""
+    lists = batch.column(2)
+    inner = lists.flatten()
+    edges = list(zip(*(inner.field(k).to_pylist() for k in range(5))))
+    counts = inner.field(5).to_pylist()
+    offsets = lists.offsets.to_pylist()
+    for cid, n, lo, hi in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), offsets, offsets[1:]):
+        yield cid, n, edges[lo - offsets[0] : hi - offsets[0]], counts[lo - offsets[0] : hi - offsets[0]]
 
 
 def _learn(rates):
     def run(batches):
         for batch in batches:
             rows = []
-            for cell, n, kinds, es, cs in _cells(batch):
-                post = posteriors(len(kinds) + 1, es, _edge_scores(es, kinds, cs, rates))
-                rows.extend((cell, n, kinds, i, j, v, p) for (i, j, v), p in zip(es, post))
+            for cid, n, es, cs in _cells(batch):
+                rows.extend((cid, n, *e, p) for e, p in zip(es, posteriors(es[-1][1], es, _edge_scores(es, cs, rates))))
             if rows:
                 yield _table(rows)
 
@@ -277,11 +284,11 @@ def _decode(rates):
     def run(batches):
         for batch in batches:
             out = []
-            for cell, _, kinds, es, cs in _cells(batch):
-                values = viterbi(len(kinds) + 1, es, _edge_scores(es, kinds, cs, rates))
+            for cid, _, es, cs in _cells(batch):
+                values = viterbi(es[-1][1], es, _edge_scores(es, cs, rates))
                 if len(values) > 1:
-                    out.append((cell, values))
+                    out.append((cid, values))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.string()), pa.array([v for _, v in out], pa.list_(pa.string()))], names=["cell", "parts"])
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([v for _, v in out], pa.list_(pa.string()))], names=["cid", "parts"])
 
     return run
