@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from palmleaf.functions import arrays as A
 from palmleaf.functions import text as X
+from palmleaf.functions.tokenize import DIRECTORY, public_tokenizers, token_ids
 from palmleaf.operators import curation as C
 from palmleaf.operators import dictionary as D
 from palmleaf.operators import examples as E
@@ -173,6 +174,14 @@ def best_tokenizer(spark, d):
     return E.best_tokenizer(E.token_efficiency(read_table(spark, d, "documents")))
 
 
+def public_token_efficiency(spark, d):
+    return E.token_efficiency(read_table(spark, d, "documents"), tokenizers=public_tokenizers())
+
+
+def label_mask_public(spark, d):
+    return E.examples(_pairs(spark, d), tokenize=token_ids(f"{DIRECTORY}/byte_bpe_multi_50k.tiktoken"))
+
+
 def scalar_functions(spark, d):
     r = F.col("response")
     return _pairs(spark, d).select(
@@ -200,7 +209,7 @@ def templates(spark, d):
 _ALL = (
     p1_found, dictionary_clean, dictionary_standardize, dictionary_issues, dictionary_issue_summary, dictionary_severity_summary, dictionary_fix, dictionary_fix_from_report, instruction_pairs, instruction_quarantine,
     conversation_pairs, merge_corpus, improve_corpus, improve_report, filter_v1, filter_v1_removed, filter_v1_report, filter_v2, filter_v2_removed, filter_v2_report, duplicate_flags, suspicious_records, validate_corpus,
-    split_assign, split_stats, split_pair_leaks, split_word_leaks, chat_render, chat_turns, label_mask, padded_batches, token_efficiency, best_tokenizer, scalar_functions, first_rows, run_projection, templates,
+    split_assign, split_stats, split_pair_leaks, split_word_leaks, chat_render, chat_turns, label_mask, padded_batches, token_efficiency, best_tokenizer, public_token_efficiency, label_mask_public, scalar_functions, first_rows, run_projection, templates,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {

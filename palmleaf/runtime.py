@@ -43,22 +43,35 @@ def shared_dir(spark: SparkSession) -> str:
     return jsc.getCheckpointDir().get().rstrip("/")
 
 
+_written: set[str] = set()
+
+
 def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/palmleaf-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.add(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _written.discard(path)
+
+
 def drop_materialized(df: DataFrame) -> None:
     """Delete the files behind a materialized frame that nothing reads any more."""
-    spark = df.sparkSession
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for parent in {os.path.dirname(f) for f in df.inputFiles()}:
         if "/palmleaf-" in parent:
-            p = spark._jvm.org.apache.hadoop.fs.Path(parent)
-            p.getFileSystem(hadoop).delete(p, True)
+            _delete(df.sparkSession, parent)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every table this session wrote to the shared folder. Results not yet stored are lost with them."""
+    for path in list(_written):
+        _delete(spark, path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from palmleaf.operators import examples as E
 from palmleaf.operators import quality as Q
 from palmleaf.operators import split as S
 from palmleaf.operators.keep_first import keep_first, mark_first, reindex
-from palmleaf.runtime import distributed_rank, drop_materialized, hot_join, materialize, shared_dir
+from palmleaf.runtime import distributed_rank, drop_materialized, hot_join, materialize, release_all, shared_dir
 
 DICT = "pos BIGINT, english STRING, tulu STRING, note STRING"
 PAIR = "pos BIGINT, instruction STRING, response STRING"
@@ -134,6 +134,21 @@ def test_token_efficiency(spark):
     assert E.best_tokenizer(E.token_efficiency(t)).first()["tokenizer"] == "words"
 
 
+def test_public_tokenizers(spark):
+    from palmleaf.functions.tokenize import DIRECTORY, FILES, encoder, public_tokenizers, token_ids
+
+    texts = ["ಕಿ a", "", None, "Tulu word for x."]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "pos INT, text STRING")
+    got = {r["tokenizer"]: (r["status"], r["tokens"]) for r in E.token_efficiency(df, tokenizers={**public_tokenizers(), "none": lambda c: token_ids("/no/file")(c)}).collect()}
+    assert got.pop("none")[0] == "FAILED"
+    assert got == {f: ("SUCCESS", sum(len(i) for i in encoder(f"{DIRECTORY}/{f}")([t for t in texts if t]))) for f in FILES}
+    ids = token_ids(f"{DIRECTORY}/{FILES[2]}")
+    assert [r[0] for r in df.orderBy("pos").select(ids("text")).collect()][1:3] == [[], None]
+    pair = spark.createDataFrame([(0, "q", "a")], "pos BIGINT, instruction STRING, response STRING")
+    r = E.examples(pair, tokenize=ids).first()
+    assert 0 < r["labels"].count(-100) < len(r["labels"])
+
+
 def test_keep_first_with_a_hot_key(spark):
     df = spark.range(3000).select(F.col("id").alias("pos"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.lit(1).alias("is_first"))
     k = keep_first(df, [F.col("k")], "pos")
@@ -180,6 +195,13 @@ def test_materialize_reads_the_session_setting(spark, tmp_path):
         df.count()
 
 
+def test_release_all(spark):
+    df = materialize(spark.range(3))
+    release_all(spark)
+    with pytest.raises(Exception):
+        df.count()
+
+
 def test_report_texts(spark):
     from palmleaf.sources import reports
 
