@@ -16,6 +16,7 @@ from palmleaf.llm.tokens import TOKENIZER, Counter
 # What ends a sentence or a clause, what may follow it, and short words whose stop ends nothing.
 SENTENCE, CLAUSE, CLOSING = ".!?।॥…。！？", ",;:、，；：", ")]}\"'”’»"
 ABBREVIATIONS = {"dr", "mr", "mrs", "ms", "st", "no", "vs", "etc", "e.g", "i.e", "cf", "adj", "adv", "n", "v"}
+ENDS = frozenset(SENTENCE + CLAUSE + CLOSING)
 PARAGRAPH, LINE, STOP, COMMA, WORD, INSIDE = 5, 4, 3, 2, 1, 0
 
 
@@ -49,15 +50,13 @@ class Cutter:
                 out.extend((1, self.counter.size(c)) for c in g)
         return out
 
-    def atoms(self, text: str, starts, ends, word, tokens, most: int):
-        """(end positions, tokens, strength of the cut after, whether counts add up exactly) of a text's words.
-
-        A word longer than `most` tokens becomes its grapheme clusters, whose counts are an upper bound.
-        """
-        end, size, after, cuts = [], [], [], []
+    @staticmethod
+    def words(text: str, starts, ends, word, tokens):
+        """(start, end, tokens, strength of the cut after) of a text's words, each with the white space that follows."""
+        begin, end, size, after = [], [], [], []
         k, n = 0, len(starts)
         while k < n:
-            a, t = k, 0
+            at, t = starts[k], 0
             while k < n and not word[k]:  # white space at the very start
                 t += tokens[k]
                 k += 1
@@ -65,30 +64,42 @@ class Cutter:
             if k < n:
                 t += tokens[k]
                 k += 1
-            tail = k
-            while k < n and not word[k]:
-                t += tokens[k]
-                k += 1
-            white = text[ends[head] if head < n else starts[a] : ends[k - 1]]
-            if k < n and starts[k] < n and text[starts[k] : starts[k] + 1].isspace() and not white:
-                white = text[starts[k]]
-            following = text[starts[k] : ends[k]] if k < n else ""
-            s = strength(text[starts[head] : ends[head]] if head < n else "", white, following)
-            if t <= most:
-                end.append(ends[k - 1])
-                size.append(t)
-                after.append(s)
+            begin.append(at)
+            if k < n and word[k] and text[ends[head] - 1] not in ENDS:  # one space follows, no mark before it
+                s, last = WORD, ends[head]
             else:
-                at = starts[a]
-                parts = self.clusters(text[at : ends[k - 1]], most)
-                for length, m in parts:
-                    at += length
-                    end.append(at)
-                    size.append(m)
-                    after.append(INSIDE)
-                after[-1] = s
-                cuts.append(tail)
-        return end, size, after
+                while k < n and not word[k]:
+                    t += tokens[k]
+                    k += 1
+                last = ends[k - 1]
+                white = text[ends[head] : last] if head < n else text[at:last]
+                following = text[starts[k] : ends[k]] if k < n else ""
+                s = strength(text[starts[head] : ends[head]] if head < n else "", white or following[:1], following)
+            end.append(last)
+            size.append(t)
+            after.append(s)
+        return begin, end, size, after
+
+    def atoms(self, text: str, words, most: int):
+        """(end positions, tokens, strengths): the words, those longer than `most` tokens as their grapheme clusters,
+        whose counts are an upper bound."""
+        begin, end, size, after = words
+        if max(size) <= most:
+            return end, size, after
+        e2, s2, a2 = [], [], []
+        for b, e, t, s in zip(begin, end, size, after):
+            if t <= most:
+                e2.append(e)
+                s2.append(t)
+                a2.append(s)
+                continue
+            for length, m in self.clusters(text[b:e], most):
+                b += length
+                e2.append(b)
+                s2.append(m)
+                a2.append(INSIDE)
+            a2[-1] = s
+        return e2, s2, a2
 
     @staticmethod
     def merge(size, after, most: int) -> list[tuple[int, int]]:
@@ -137,11 +148,12 @@ class Cutter:
                 heapq.heappush(heap, (int(after[lo[k] - 1]), weight[left[k]] + weight[k], left[k], version[left[k]], version[k]))
         return [(lo[k], hi[k]) for k in range(n) if alive[k]]
 
-    def cut(self, text: str, starts, ends, word, tokens, limit: int, overlap: int):
+    def cut(self, text: str, words, limit: int, overlap: int):
         """(piece number, start, end, tokens, overlap tokens) of each piece of a text over the limit."""
         most = max(1, limit - overlap)
-        end, size, after = self.atoms(text, starts, ends, word, tokens, most)
+        end, size, after = self.atoms(text, words, most)
         total = np.concatenate([[0], np.cumsum(size)]).tolist()
+        whole = len(end) == len(words[1])
         inside = np.asarray(after) == INSIDE
         for no, (lo, hi) in enumerate(self.merge(size, after, most)):
             back = lo
@@ -150,7 +162,7 @@ class Cutter:
                     back -= 1
             begin = end[back - 1] if back else 0
             shared, n = total[lo] - total[back], total[hi] - total[back]
-            if inside[max(0, back - 1) : hi].any():  # counts of cut words are bounds: count again
+            if not whole and inside[max(0, back - 1) : hi].any():  # counts of cut words are bounds: count again
                 n = self.counter.size(text[begin : end[hi - 1]])
                 shared = self.counter.size(text[begin : end[lo - 1]]) if lo and back < lo else 0
             yield no, begin, end[hi - 1], n, shared
@@ -189,11 +201,11 @@ def cut_oversized(docs: DataFrame, limits: DataFrame, *, doc_id: str = "doc_id",
                 for k in np.flatnonzero(per > smallest):
                     a, b = first[k], first[k + 1]
                     body = cps[offsets[k] : offsets[k + 1]].tobytes().decode("utf-32-le", "surrogatepass")
-                    args = (starts[a:b] - offsets[k]).tolist(), (ends[a:b] - offsets[k]).tolist(), word[a:b].tolist(), tokens[a:b].tolist()
+                    words = cutter.words(body, (starts[a:b] - offsets[k]).tolist(), (ends[a:b] - offsets[k]).tolist(), word[a:b].tolist(), tokens[a:b].tolist())
                     for name, m, o in profiles:
                         if per[k] > m:
                             who = part.column(0)[int(k)].as_py()
-                            out.extend((who, name, no, x, y, n, s, body[x:y]) for no, x, y, n, s in cutter.cut(body, *args, m, o))
+                            out.extend((who, name, no, x, y, n, s, body[x:y]) for no, x, y, n, s in cutter.cut(body, words, m, o))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
