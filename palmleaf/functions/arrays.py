@@ -48,4 +48,4 @@ def pad(a: Column, to: Column, value) -> Column:
 def code_points(c: Column) -> Column:
     """A deterministic tokenisation: one id per character."""
     chars = F.filter(F.split(c, "", -1), lambda x: x != "")
-    return F.transform(chars, lambda x: F.conv(F.hex(F.encode(x, "UTF-32")), 16, 10).cast("int"))
+    return F.transform(chars, F.ascii)

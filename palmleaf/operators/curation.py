@@ -28,12 +28,13 @@ def improve(df: DataFrame, pos: str = "pos") -> DataFrame:
 
 def improve_report(df: DataFrame, pos: str = "pos") -> DataFrame:
     """One row: pairs read, kept, modified, dropped as empty or duplicate, and how many still hold Latin (at most 20)."""
-    total = df.agg(F.count(F.lit(1)).alias("records"))
     x = _texts(df, pos).select(X.improve_text(F.col("raw_i")).alias("i"), X.improve_noise(X.improve_text(F.col("raw_r"))).alias("r"))
-    empty = x.agg(F.count_if((F.col("i") == "") | (F.col("r") == "")).alias("dropped_empty"))
-    kept = improve(df, pos).agg(F.count(F.lit(1)).alias("kept"), F.count_if("modified").alias("modified"), F.least(F.count_if(X.has_latin(F.col("response"))), F.lit(20)).alias("latin_left"))
-    one = total.join(empty).join(kept)  # one row each
-    return one.select("records", "kept", "modified", "dropped_empty", (F.col("records") - F.col("dropped_empty") - F.col("kept")).alias("duplicates_removed"), "latin_left")
+    zero = F.lit(0).cast("long")
+    read = x.agg(F.count(F.lit(1)).alias("records"), F.count_if((F.col("i") == "") | (F.col("r") == "")).alias("dropped_empty"))
+    kept = improve(df, pos).agg(F.count(F.lit(1)).alias("kept"), F.count_if("modified").alias("modified"), F.count_if(X.has_latin(F.col("response"))).alias("latin"))
+    both = read.select("records", "dropped_empty", *(zero.alias(c) for c in ("kept", "modified", "latin"))).unionByName(kept.select(zero.alias("records"), zero.alias("dropped_empty"), "kept", "modified", "latin"))
+    one = both.agg(*(F.sum(c).alias(c) for c in both.columns))
+    return one.select("records", "kept", "modified", "dropped_empty", (F.col("records") - F.col("dropped_empty") - F.col("kept")).alias("duplicates_removed"), F.least("latin", F.lit(20)).alias("latin_left"))
 
 
 def _classified(x: DataFrame, pos: str, reason, duplicate: str) -> DataFrame:

@@ -32,17 +32,15 @@ def suspicious(df: DataFrame, pos: str = "pos") -> DataFrame:
 
 def validate(df: DataFrame, pos: str = "pos", bad_lines: int = 0, missing_instruction: int = 0, missing_response: int = 0) -> DataFrame:
     """One row of counts and averages with PASS or FAIL. Lengths and suspicious responses are only warnings."""
-    x = _stripped(df, pos)
+    x = mark_first(_stripped(df, pos), [X.casefold(F.col("instruction")), X.casefold(F.col("response"))], pos)
     x = x.withColumns({"ni": F.length("instruction"), "nr": F.length("response")})
     flags = [test(F.col("response")) for _, test in REASONS]
     out = x.agg(
         F.count(F.lit(1)).alias("records"), F.count_if(F.col("ni") == 0).alias("empty_instruction"), F.count_if(F.col("nr") == 0).alias("empty_response"),
         F.count_if((F.col("ni") > 0) & (F.col("ni") < MIN_INSTRUCTION)).alias("short_instruction"), F.count_if((F.col("nr") > 0) & (F.col("nr") < MIN_RESPONSE)).alias("short_response"),
         F.count_if(F.col("ni") > MAX_INSTRUCTION).alias("long_instruction"), F.count_if(F.col("nr") > MAX_RESPONSE).alias("long_response"), F.count_if(flags[0] | flags[1] | flags[2]).alias("suspicious"),
-        F.coalesce(F.avg(F.when(F.col("ni") > 0, F.col("ni"))), F.lit(0.0)).alias("avg_instruction_length"), F.coalesce(F.avg(F.when(F.col("nr") > 0, F.col("nr"))), F.lit(0.0)).alias("avg_response_length"),
+        F.count_if(~F.col("is_first")).alias("duplicates"), F.coalesce(F.avg(F.when(F.col("ni") > 0, F.col("ni"))), F.lit(0.0)).alias("avg_instruction_length"), F.coalesce(F.avg(F.when(F.col("nr") > 0, F.col("nr"))), F.lit(0.0)).alias("avg_response_length"),
     )
-    dup = duplicate_flags(df, pos).agg(F.count_if("is_duplicate").alias("duplicates"))
-    out = out.join(dup)  # one row each
     for name, n in (("bad_lines", bad_lines), ("missing_instruction", missing_instruction), ("missing_response", missing_response)):
         out = out.withColumn(name, F.lit(n).cast("long"))
     critical = sum((F.col(c) for c in ("missing_instruction", "missing_response", "empty_instruction", "empty_response", "duplicates")), F.col("bad_lines"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palmleaf.functions import text as X
@@ -48,8 +48,8 @@ def assign(df: DataFrame, pos: str = "pos", ratios=RATIOS, seed: int = 42) -> Da
 def stats(assigned: DataFrame) -> DataFrame:
     """(split, records, share, words): share in percent, two places."""
     per = assigned.groupBy("split").agg(F.count(F.lit(1)).alias("records"), F.countDistinct("word").alias("words"))
-    total = per.agg(F.sum("records").alias("total"))
-    return per.join(F.broadcast(total)).select("split", "records", F.round(100.0 * F.col("records") / F.col("total"), 2).alias("share"), "words")  # total: one row
+    total = F.sum("records").over(Window.partitionBy(F.lit(1)))  # one row per split
+    return per.select("split", "records", F.round(100.0 * F.col("records") / total, 2).alias("share"), "words")
 
 
 def leaks(df: DataFrame, key: Column, split: str = "split") -> DataFrame:

@@ -74,8 +74,15 @@ def release_all(spark: SparkSession) -> None:
         _delete(spark, path)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, least: int = 1 << 20) -> DataFrame:
+    """A table by name. One small file is one task whatever the cores: if it is worth it, its rows are dealt to all."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    if status.isFile() and least <= status.getLen() <= status.getBlockSize() * 4:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def free_name(df: DataFrame, want: str) -> str:
