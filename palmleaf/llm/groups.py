@@ -15,9 +15,13 @@ ASK_ONE = (
 )
 
 
-def headwords(c: Column) -> Column:
-    """The distinct headwords an instruction names, each by its letters, marks and digits in lower case; none: empty."""
-    words = F.trim(F.lower(F.regexp_replace(c.cast("string"), r"[^\p{L}\p{M}\p{N}]+", " ")))
+def question_words(c: Column) -> Column:
+    """The words of an instruction in lower case, one space between them."""
+    return F.trim(F.lower(F.regexp_replace(c.cast("string"), r"[^\p{L}\p{M}\p{N}]+", " ")))
+
+
+def named_in(words: Column) -> Column:
+    """The distinct headwords that question_words() name, each without spaces; none: empty."""
     none = F.array().cast("array<string>")
     found = none
     for p in reversed(ASK_ONE):
@@ -28,6 +32,10 @@ def headwords(c: Column) -> Column:
     return F.coalesce(F.array_distinct(F.filter(bare, lambda w: w != "")), none)
 
 
+def headwords(c: Column) -> Column:
+    return named_in(question_words(c))
+
+
 def spanning_forest(edges: DataFrame, max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
     """Connected components of edges(u, v) by Borůvka contraction: (labels(node, root), forest(u, v)).
 
@@ -87,7 +95,8 @@ def tie_by_headword(df: DataFrame, key: str = "record_id", instruction: str = "i
     third of all rows is one node, counted before any shuffle of rows, and its rows get their root by broadcast of the
     few hot headwords. Rows with a null key, and rows whose instruction is null or names none, are not returned.
     """
-    named = df.select(F.col(key).cast("long").alias("k"), headwords(F.col(instruction)).alias("hw")).filter(F.col("k").isNotNull() & (F.size("hw") > 0))
+    asked = df.select(F.col(key).cast("long").alias("k"), question_words(F.col(instruction)).alias("w")).filter(F.col("k").isNotNull() & F.col("w").rlike("[a-z]"))
+    named = asked.select("k", named_in(F.col("w")).alias("hw")).filter(F.size("hw") > 0)
     named = materialize(named, "named")
     heads = materialize(named.select("k", F.explode("hw").alias("h")).groupBy("h").agg(F.min("k").alias("node"), F.count(F.lit(1)).alias("n")), "heads")
     # A record that names several headwords chains them; equal pairs are merged before the join.
