@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,15 +124,14 @@ def distributed_rank(df: DataFrame, group: str | None, order: list, rank: str, w
         seen[r["g"]] = (c + r["n"], w + ((r["w"] or 0) if weight else 0))
     gtype = placed.schema[grp].dataType
     wtype = T.DoubleType() if weight and dict(df.dtypes)[weight] in ("double", "float") else T.LongType()
-    offs = spark.createDataFrame(rows, T.StructType([T.StructField("_pid", T.LongType()), T.StructField("_g", gtype), T.StructField("_off", T.LongType()), T.StructField("_w", wtype)]))
-    out = placed.join(F.broadcast(offs), (pid == offs["_pid"]) & F.col(grp).eqNullSafe(offs["_g"]))
-    out = out.withColumn(rank, F.col(rid) + F.col("_off"))
+    p_, g_, o_, w_ = (free_name(placed, n) for n in ("_pid", "_g", "_off", "_w"))
+    offs = spark.createDataFrame(rows, T.StructType([T.StructField(p_, T.LongType()), T.StructField(g_, gtype), T.StructField(o_, T.LongType()), T.StructField(w_, wtype)]))
+    out = placed.join(F.broadcast(offs), (pid == offs[p_]) & F.col(grp).eqNullSafe(offs[g_]))
+    out = out.withColumn(rank, F.col(rid) + F.col(o_))
     if weight:
-        from pyspark.sql import Window
-
-        before = Window.partitionBy("_pid", grp).orderBy(rid).rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn(rank + "_w", F.col("_w") + F.coalesce(F.sum(weight).over(before), F.lit(0)))
-    return out.drop("_pid", "_g", "_off", "_w", grp, rid)
+        before = Window.partitionBy(p_, grp).orderBy(rid).rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn(rank + "_w", F.col(w_) + F.coalesce(F.sum(weight).over(before), F.lit(0)))
+    return out.drop(p_, g_, o_, w_, grp, rid)
 
 
 def hot_join(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, how: str = "inner", parts: int = 64) -> DataFrame:
