@@ -317,7 +317,15 @@ def train(df: DataFrame, instruction: str = "instruction", response: str = "resp
     ends = r.rlike(r"[.!?।॥][)\]”\"'’\s]*\z")
     closed = ~r.rlike(r"[(\[“][^)\]”]*\z")
     pool = df.select(i.alias("i"), r.alias("r"), F.xxhash64(i, r, F.lit(seed)).alias("h"), conv.alias("c")).filter(sound & closed & (~conv | ends))
-    few = pool.filter(~F.col("c")).orderBy("h", "i", "r").limit(sample_rows * 2 // 3).select("i", "r").collect() + pool.filter("c").orderBy("h", "i", "r").limit(sample_rows // 3).select("i", "r").collect()
+    wants = {False: sample_rows * 2 // 3, True: sample_rows // 3}
+    totals = {r["c"]: r["n"] for r in pool.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The hashes are uniform: a cut that leaves about twice the wanted rows bounds what is sent; copies count once.
+    below = F.lit(False)
+    for kind, want in wants.items():
+        cut = min((1 << 63) - 1, -(1 << 63) + ((2 * want + 1000) << 64) // max(1, totals.get(kind, 0)))
+        below = below | ((F.col("c") == kind) & (F.col("h") <= cut))
+    seen = pool.filter(below).distinct().limit(4 * sample_rows + 4000).collect()
+    few = [x for kind, want in wants.items() for x in sorted((x for x in seen if x["c"] == kind), key=lambda x: (x["h"], x["i"], x["r"]))[:want]]
     rows = sorted({(x[0], x[1]) for x in few if not any(b in x[1] for _, bodies, _ in REFUSALS.values() for b in bodies)})
     return fit(rows, seed) if rows else Model(np.zeros((len(LABELS), 1 << BITS), np.float32), np.zeros((len(LABELS), len(DENSE)), np.float32), np.full(len(LABELS), 2.0), {})
 
