@@ -238,6 +238,7 @@ def fill_template(template: str, word: Column) -> Column:
 
 
 def template_word(c: Column) -> Column:
-    """The headword a template instruction names, or null."""
+    """The headword a template instruction names, or null. Outer white space does not count."""
+    c = strip(c)
     found = F.coalesce(*(F.nullif(F.regexp_extract(c, "(?iu)" + p, 1), F.lit("")) for p in EXTRACT))
     return F.nullif(strip(found), F.lit(""))

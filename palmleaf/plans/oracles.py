@@ -246,7 +246,8 @@ coalesce(avg(length(instruction)) FILTER (instruction <> ''), 0) AS avg_instruct
 SELECT *, 0 AS bad_lines, 0 AS missing_instruction, 0 AS missing_response, empty_instruction + empty_response + duplicates AS critical, CASE WHEN empty_instruction + empty_response + duplicates = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM v"""
 
 _EXTRACT = (r"^Translate [''\"](.+?)[''\"] to Tulu\.$", r"^What is the Tulu meaning of (.+?)\?$", r"^How do you say (.+?) in Tulu\?$", r"^Give the Tulu translation of (.+?)\.$", r"^Tulu word for (.+?)\.$")
-_WORD = "nullif(" + strip("coalesce(" + ", ".join(f"nullif(regexp_extract(coalesce(instruction, ''), '(?i){p}', 1), '')" for p in _EXTRACT) + ")") + ", '')"
+_STRIPPED = strip("coalesce(instruction, '')")
+_WORD = "nullif(" + strip("coalesce(" + ", ".join(f"nullif(regexp_extract({_STRIPPED}, '(?i){p}', 1), '')" for p in _EXTRACT) + ")") + ", '')"
 _SPLIT = f"""WITH x AS (SELECT record_id AS pos, {fold(_WORD)} AS word FROM train),
 g AS (SELECT word, row_number() OVER (ORDER BY md5('42|' || word), word) - 1 AS rank, count(*) OVER () AS n FROM (SELECT DISTINCT word FROM x WHERE word IS NOT NULL)),
 c AS (SELECT pos, row_number() OVER (ORDER BY md5('42|' || pos), pos) - 1 AS rank, count(*) OVER () AS n FROM x WHERE word IS NULL),
