@@ -156,7 +156,7 @@ def _edge_scores(edges: list[Edge], counts, rates) -> list[float]:
     out = []
     for (_, _, v, cut, inner), c in zip(edges, counts):
         c = max(c, 0.0)
-        p = math.log((c + math.exp(-(min(len(v), 150) + 1) * math.log(CHARS))) / (c + 1.0))
+        p = _add(math.log(c) if c else -math.inf, -(len(v) + 1) * math.log(CHARS)) - math.log(c + 1.0)
         for k in inner:
             p += math.log(1 - rates.get(k, 0.9))
         if cut:

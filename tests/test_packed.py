@@ -18,6 +18,14 @@ def test_notations(spark):
     assert got == {k: v for k, (c, v) in enumerate(CASES.items()) if v}
 
 
+def test_long_values(spark):
+    """Unfamiliar values are parted whatever their length: four of 50 characters, two of 100, five of 300."""
+    cells = [[f"{chr(97 + k)}{no} " + chr(97 + k) * (size - 3) for k in range(many)] for no, (many, size) in enumerate([(4, 50), (2, 100), (5, 300)])]
+    df = spark.createDataFrame([(no, mark.join(c)) for no, (c, mark) in enumerate(zip(cells, [", ", "; ", ","]))], "id BIGINT, cell STRING")
+    got = [(r["id"], r["value"]) for r in unpack(df, "id", "cell").orderBy("id", "pos").collect()]
+    assert got == [(no, v) for no, c in enumerate(cells) for v in c]
+
+
 def test_positions_and_copies(spark):
     df = spark.createDataFrame([(k, "a, b") for k in range(3000)] + [(5000, "c; d; c")], "id BIGINT, cell STRING")
     got = unpack(df, "id", "cell")
