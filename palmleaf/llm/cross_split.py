@@ -13,7 +13,7 @@ from palmleaf.runtime import materialize
 PREFIX = 5  # words of a suffix that the array is sorted by: no pair within the tolerance shares less in one place
 ENDS_UPTO, STRIDE_FROM = 19, 18
 CLIP = (1 << 20) - 1
-SUFFIX = "key BINARY, side BYTE, cls LONG, id LONG, pos INT, ni INT, nr INT, si LONG, sr LONG"
+SUFFIX = "key BINARY, side BYTE, cls LONG, id LONG, ni INT, nr INT, si LONG, sr LONG"
 
 
 def tolerance(n):
@@ -83,7 +83,7 @@ def _suffixes(eval_sides: bool):
                 alone[one] = True
                 ni, nr = i.count.astype(np.int64), r.count.astype(np.int64)
                 si, sr = _bag(i.hash, i.row, len(ids)), _bag(r.hash, r.row, len(ids))
-                rows, pos, ctx, words = [], [], [], []
+                rows, ctx, words = [], [], []
 
                 def add(row, at, context, w, first):
                     keep = alone[row]
@@ -91,7 +91,6 @@ def _suffixes(eval_sides: bool):
                     if not len(row):
                         return
                     rows.append(row)
-                    pos.append(at)
                     ctx.append(context)
                     if w is None:
                         words.append(np.zeros((len(row), PREFIX), np.uint32))
@@ -114,15 +113,15 @@ def _suffixes(eval_sides: bool):
                     add(rb[k], pb[k], np.full(int(k.sum()), 3, U64), r, r.first)
                 if not rows:
                     continue
-                row, at = np.concatenate(rows), np.concatenate(pos)
+                row = np.concatenate(rows)
                 key = np.empty((len(row), 8 + 4 * PREFIX), np.uint8)
                 key[:, :8] = np.concatenate(ctx).astype(">u8").view(np.uint8).reshape(-1, 8)
                 key[:, 8:] = np.concatenate(words).astype(">u4").view(np.uint8).reshape(-1, 4 * PREFIX)
                 width = key.shape[1]
                 binary = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer((np.arange(len(row) + 1) * width).astype(np.int32)), pa.py_buffer(key.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [binary, pa.array(side[row].astype(np.int8)), *(pa.array(x) for x in (cls[row].view(np.int64), ids[row], np.minimum(at, CLIP).astype(np.int32), np.minimum(ni[row], CLIP).astype(np.int32), np.minimum(nr[row], CLIP).astype(np.int32), si[row].view(np.int64), sr[row].view(np.int64)))],
-                    names=["key", "side", "cls", "id", "pos", "ni", "nr", "si", "sr"],
+                    [binary, pa.array(side[row].astype(np.int8)), *(pa.array(x) for x in (cls[row].view(np.int64), ids[row], np.minimum(ni[row], CLIP).astype(np.int32), np.minimum(nr[row], CLIP).astype(np.int32), si[row].view(np.int64), sr[row].view(np.int64)))],
+                    names=["key", "side", "cls", "id", "ni", "nr", "si", "sr"],
                 )
 
     return run
@@ -184,13 +183,29 @@ def edits(a: list, b: list, most: int) -> int:
     return row.get(len(b), big)
 
 
+def covered(a: list, b: list) -> int:
+    """Words of b inside the spans of PREFIX or more words that it shares with a; all of them where the texts are equal.
+
+    Every suffix of b is extended to the longest prefix it has in common with a suffix of a, and the spans are merged.
+    A span of PREFIX or more words is the union of the PREFIX-word spans inside it, so these are looked up instead.
+    """
+    if a == b:
+        return len(b)
+    known = {tuple(a[k : k + PREFIX]) for k in range(len(a) - PREFIX + 1)}
+    total = end = 0
+    for k in range(len(b) - PREFIX + 1):
+        if tuple(b[k : k + PREFIX]) in known:
+            total += k + PREFIX - max(end, k)
+            end = k + PREFIX
+    return total
+
+
 def _verify(batches):
     for batch in batches:
         out = []
         for part in chunks(batch, "tr", 1 << 20):
             w = [Words(part.column(part.schema.get_field_index(c))) for c in ("ti", "tr", "ei", "er")]
             tc, ec = class_keys(w[0], w[1])[2], class_keys(w[2], w[3])[2]
-            covered = part.column(part.schema.get_field_index("covered")).to_numpy()
             for k in range(part.num_rows):
                 t = [x.hash[x.first[k] : x.first[k] + x.count[k]].tolist() for x in w]
                 mi, mr = tolerance(max(len(t[0]), len(t[2]))), tolerance(max(len(t[1]), len(t[3])))
@@ -198,7 +213,7 @@ def _verify(batches):
                 dr = edits(t[1], t[3], mr) if di <= mi else mr + 1
                 if di <= mi and dr <= mr:
                     longest = max(len(t[0]), len(t[2])) + max(len(t[1]), len(t[3]))
-                    out.append((int(tc[k].astype(np.int64)), int(ec[k].astype(np.int64)), di + dr, longest, int(covered[k])))
+                    out.append((int(tc[k].astype(np.int64)), int(ec[k].astype(np.int64)), di + dr, longest, covered(t[0], t[2]) + covered(t[1], t[3])))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["tc", "ec", "edits", "words", "covered"])
 
@@ -217,8 +232,12 @@ def find_overlaps(train: DataFrame, evals: DataFrame, key: str = "record_id", in
     Both sides' texts are cut into word suffixes: all of the evaluation splits, a sparse sample of the training split,
     dense enough that every pair within the tolerance shares a sampled one. Suffixes are partitioned and sorted by
     context (the other text, where it is too short for any edit) and words; adjacent suffixes of both splits with
-    PREFIX words in common give shared spans, merged into the words covered per pair of distinct texts; the pairs are
-    verified by edit distance. Copies are one class from the start and become rows only at the end.
+    PREFIX words in common give the pairs of distinct texts, which are verified by edit distance. Copies are one class
+    from the start and become rows only at the end.
+
+    edits and words (of the longer texts) are sums over instruction and response, and so is covered: the evaluation
+    text's words in spans of PREFIX or more words shared with the same text of the training record, each merged on its
+    own, or all its words where the two are equal.
 
     A null text has no words; two texts without words are the same. Rows with a null key are left out. Extra columns
     are ignored. Empty tables give no rows.
@@ -229,7 +248,7 @@ def find_overlaps(train: DataFrame, evals: DataFrame, key: str = "record_id", in
     array = base.mapInArrow(_suffixes(True), SUFFIX).repartition(n, "key").sortWithinPartitions("key", F.desc("side"))
     shared = materialize(array.mapInArrow(_adjacent, SUFFIX), "shared")
     t = shared.filter("side = 0").groupBy("key", "cls").agg(F.min("id").alias("tid"), F.first("ni").alias("ti_n"), F.first("nr").alias("tr_n"), F.first("si").alias("t_si"), F.first("sr").alias("t_sr"))
-    e = shared.filter("side = 1").groupBy("key", F.col("cls").alias("ecls")).agg(F.min("id").alias("eid"), F.min("pos").alias("pos"), F.first("ni").alias("ei_n"), F.first("nr").alias("er_n"), F.first("si").alias("e_si"), F.first("sr").alias("e_sr"))
+    e = shared.filter("side = 1").groupBy("key", F.col("cls").alias("ecls")).agg(F.min("id").alias("eid"), F.first("ni").alias("ei_n"), F.first("nr").alias("er_n"), F.first("si").alias("e_si"), F.first("sr").alias("e_sr"))
 
     def near(a, b, sa, sb):
         m = F.greatest(a, b)
@@ -237,15 +256,14 @@ def find_overlaps(train: DataFrame, evals: DataFrame, key: str = "record_id", in
         return (m >= CLIP) | ((F.abs(F.col(a) - F.col(b)) <= allowed) & (F.bit_count(F.col(sa).bitwiseXOR(F.col(sb))) <= 2 * allowed))
 
     pairs = t.join(e, "key").filter(near("ti_n", "ei_n", "t_si", "e_si") & near("tr_n", "er_n", "t_sr", "e_sr"))
-    spans = F.array_distinct(F.flatten(F.transform(F.collect_set("pos"), lambda p: F.sequence(p, p + PREFIX - 1))))
-    pairs = pairs.groupBy("cls", "ecls").agg(F.min("tid").alias("tid"), F.min("eid").alias("eid"), F.size(spans).cast("long").alias("covered")).select("tid", "eid", "covered")
+    pairs = pairs.groupBy("cls", "ecls").agg(F.min("tid").alias("tid"), F.min("eid").alias("eid")).select("tid", "eid")
     pairs = materialize(pairs, "pairs")
     text = base.select("side", "id", "i", "r")
     tt = text.filter("side = 0").select(F.col("id").alias("tid"), F.col("i").alias("ti"), F.col("r").alias("tr"))
     et = text.filter("side = 1").select(F.col("id").alias("eid"), F.col("i").alias("ei"), F.col("r").alias("er"))
     wanted_t, wanted_e = pairs.select("tid").distinct(), pairs.select("eid").distinct()
     both = pairs.join(tt.join(wanted_t, "tid", "left_semi"), "tid").join(et.join(wanted_e, "eid", "left_semi"), "eid")
-    good = both.select("ti", "tr", "ei", "er", "covered").mapInArrow(_verify, "tc LONG, ec LONG, edits LONG, words LONG, covered LONG")
+    good = both.select("ti", "tr", "ei", "er").mapInArrow(_verify, "tc LONG, ec LONG, edits LONG, words LONG, covered LONG")
     good = materialize(good.groupBy("tc", "ec").agg(F.min("edits").alias("edits"), F.max("words").alias("words"), F.max("covered").alias("covered")), "good")
     members = base.mapInArrow(_classes, "side BYTE, id LONG, cls LONG")
     tm = members.filter("side = 0").select(F.col("id").alias("train_id"), F.col("cls").alias("tc")).join(good.select("tc").distinct(), "tc", "left_semi")

@@ -184,6 +184,21 @@ def test_overlaps_against_brute_force(spark):
 # 6
 
 
+def test_covered_words(spark):
+    w = [f"w{k}" for k in range(40)]
+    texts = [
+        (w[:3], w[:17]), ([], []), (w[:2], w[:4]),  # copies of any length count whole
+        (w[:12], w[10:30]),  # both texts, each on its own
+        (["q"], (w[:5] + ["x"]) * 4), (["p"], w[:20]),  # the same span again; a word changed between two spans
+    ]
+    train = [(k, " ".join(i), " ".join(r), None) for k, (i, r) in enumerate(texts)]
+    evals = [(100 + k, i, r, None) for k, i, r, _ in train]
+    evals[4] = (104, "q", " ".join((w[:5] + ["x"]) * 3 + w[:5] + ["y"]), None)
+    evals[5] = (105, "p", " ".join(w[:8] + ["x"] + w[9:20]), None)
+    got = {(r["train_id"], r["eval_id"]): r["covered"] for r in find_overlaps(records(spark, *train), records(spark, *evals)).collect()}
+    assert got == {(0, 100): 20, (1, 101): 0, (2, 102): 6, (3, 103): 32, (4, 104): 24, (5, 105): 20}
+
+
 def test_same_look_pairs(spark, rows):
     df = spark.createDataFrame([(1, "cap", "ಕ", "z"), (2, "сap", "ಕ", "z"), (3, "cap", "ಕ", "z"), (4, "cap", None, "z"), (5, "Cap", "ಕ", "z"), (None, "сap", "ಕ", "z")], "id BIGINT, e STRING, t STRING, look_0 STRING")
     assert rows(same_look_pairs(df, "id", ["e", "t"])) == [(1, 2), (2, 3)]
