@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from palmleaf.llm.codepoints import U64, Words, chunks, gram_hash, splitmix
 
-SCHEMA = "doc_id BIGINT, item_id BIGINT, windows BIGINT, exact_windows BIGINT, item_windows BIGINT, similarity DOUBLE"
+SCHEMA = "doc_id BIGINT, item_id BIGINT, windows BIGINT, exact_windows BIGINT, item_windows BIGINT, similarity DOUBLE, item_similarity DOUBLE"
 
 
 def simhash(shingles: np.ndarray, per: int) -> np.ndarray:
@@ -53,6 +53,9 @@ class Index:
         self.finger = simhash(sh, self.per)[start] if len(start) else np.zeros(0, U64)
         self.words = w.hash[start[:, None] + np.arange(window)] if len(start) else np.zeros((0, window), U64)
         self.shingles = sh[start[:, None] + np.arange(self.per)] if len(start) else np.zeros((0, self.per), U64)
+        self.source = w.row[start]
+        self.length = w.count
+        self.whole = {int(r): np.unique(sh[w.first[r] : w.first[r] + w.count[r] - shingle + 1]) for r in np.unique(self.source)}
         self.no, self.per_item = np.unique(self.item, return_inverse=True) if len(start) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         self.size = np.bincount(self.per_item, minlength=len(self.no)) if len(start) else np.zeros(0, np.int64)
         self.blocks = []
@@ -96,13 +99,32 @@ class Index:
         exact = (words[a[:, None] + np.arange(self.window)] == self.words[b]).all(axis=1)
         return np.maximum(common / union, exact), exact
 
+    def passage(self, row: int, found: np.ndarray, sh: np.ndarray, lo: int, hi: int) -> float:
+        """The best weighted Jaccard similarity of an item with the item-sized windows of the words lo..hi that hold a
+        window found."""
+        own, per = self.whole[row], self.shingle - 1
+        size = min(int(self.length[row]), hi - lo)
+        starts = np.unique(np.clip(np.unique(found)[:, None] - np.arange(size - self.window + 1), lo, hi - size))
+        weight, best = weights(own).sum(), 0.0
+        for k in range(0, len(starts), 256):
+            x = np.sort(sh[starts[k : k + 256, None] + np.arange(size - per)], axis=1)
+            once = np.ones(x.shape, bool)
+            once[:, 1:] = x[:, 1:] != x[:, :-1]
+            held = weights(x) * once
+            common = (held * (own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x)).sum(axis=1)
+            best = max(best, float((common / (held.sum(axis=1) + weight - common)).max()))
+        return min(best, 1.0)
+
 
 def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shingle: int = 5, radius: int = 2, similarity: float = 0.8, index_bytes: int = 64 << 20) -> DataFrame:
     """One row per (document, item) of which some `window`-word passages are alike.
 
     Every window of every item is fingerprinted; every window of every document is looked up by radius + 1 Hamming
     blocks, so no fingerprint within the radius is missed, and each candidate is verified by the exact weighted
-    similarity of its word shingles. exact_windows counts distinct windows of the item found word for word. Documents are read once and never
+    similarity of its word shingles. exact_windows counts distinct windows of the item found word for word.
+    item_similarity is that of the whole item with the document's best passage of the item's size, changed words
+    included; 0 if under `similarity`. Such a passage holds `window` words of the item unchanged (at 0.8, 10 and 5
+    words, repeated shingles aside), so those around the windows found are compared. Documents are read once and never
     shuffled. The items' index is broadcast in blocks of at most index_bytes of text, each block one pass over the
     documents; with more items than fit one block the passes follow one another.
 
@@ -171,9 +193,17 @@ def _scan(held, window, shingle, radius, similarity):
                 best = np.zeros(len(u))
                 np.maximum.at(best, inv, sim)
                 item = u % len(ix.no)
+                whole = np.zeros(len(u))
+                texts = w.row[a].astype(np.int64) * len(ix.length) + ix.source[b]
+                order = np.argsort(texts, kind="stable")
+                for g in np.split(order, np.flatnonzero(np.diff(texts[order])) + 1):
+                    r = int(w.row[a[g[0]]])
+                    near = ix.passage(int(ix.source[b[g[0]]]), a[g], sh, int(w.first[r]), int(w.first[r] + w.count[r]))
+                    if near >= similarity:
+                        whole[inv[g[0]]] = max(whole[inv[g[0]]], near)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(u // len(ix.no))), *map(pa.array, (ix.no[item], distinct(np.ones(len(b), bool)), distinct(exact), ix.size[item].astype(np.int64), best))],
-                    names=["doc_id", "item_id", "windows", "exact_windows", "item_windows", "similarity"],
+                    [part.column(0).take(pa.array(u // len(ix.no))), *map(pa.array, (ix.no[item], distinct(np.ones(len(b), bool)), distinct(exact), ix.size[item].astype(np.int64), best, whole))],
+                    names=["doc_id", "item_id", "windows", "exact_windows", "item_windows", "similarity", "item_similarity"],
                 )
 
     return run

@@ -87,9 +87,10 @@ def p7_found(spark, d):
 
 
 def p7_report(spark, d):
-    """Each leaked item: the documents that hold some of it, word for word or nearly, and the most one holds."""
+    """Each leaked item: the documents that hold ten words or more of it, and the most one holds: the share of the item's
+    windows, or the similarity of a passage of the item's size in which words are changed, where that is more."""
     found = find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
-    return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max(F.col("windows") / F.col("item_windows")).alias("largest_part"))
+    return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max(F.greatest(F.col("windows") / F.col("item_windows"), F.col("item_similarity"))).alias("largest_part"))
 
 
 def p8_mixture(spark, d):

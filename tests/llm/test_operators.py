@@ -245,6 +245,19 @@ def test_leaks_against_brute_force(spark):
 # 8
 
 
+def test_leaked_items_with_changed_words(spark):
+    w = [f"w{k}" for k in range(60)]
+    other = [f"o{k}" for k in range(50)]
+    passages = {1: w, 2: w[:30] + ["x"] + w[31:], 3: w[:20] + ["x"] + w[20:], 4: w[:30], 5: w[:59], 8: w[30:] + w[:30], 6: [*w[:10], *"xyz", *w[13:26], *"xyz", *w[29:]]}
+    docs = spark.createDataFrame([(k, " ".join(other + p + other[::-1])) for k, p in passages.items()] + [(7, " ".join(w[2:]))], "doc_id BIGINT, text STRING")
+    got = {r["doc_id"]: r for r in find_leaks(docs, spark.createDataFrame([(1, " ".join(w))], "item_id BIGINT, text STRING")).collect()}
+    near = {k: r["item_similarity"] for k, r in got.items()}
+    assert set(got) == {*passages, 7} and near[1] == 1 and near[4] == near[6] == 0
+    assert all(0.8 <= near[k] < 1 for k in (2, 3, 5, 7)), near
+    assert near[8] > 0.8  # halves in the other order
+    assert got[2]["windows"] == 41 and near[2] > 41 / 51  # a changed word costs ten windows of 51
+
+
 def test_mixing(spark):
     rng = random.Random(4)
     docs = [(k, " ".join(["water"] * rng.randrange(0, 60)), rng.choice(["a", "a", "a", "b", "c", None])) for k in range(600)] + [(900, None, "a")]
