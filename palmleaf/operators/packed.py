@@ -23,7 +23,7 @@ NULL_TEXTS = ("", "nan", "na", "n/a", "null", "none", "nil", "-", "?")
 BULLETS = "-*•·–—▪◦‣"
 ITEM = re.compile(r"(?:(?<=\s)|\A)(\(?)(\d{1,3})([.)])(?=\s|[^\W\d])")
 CHARS = 48.0  # characters a value may be made of, for the base measure
-MAX_SPAN = 4  # atoms one value may take in: the reach of the lattice, which is linear in the cell
+MAX_SPAN = 4  # atoms a value may take in wherever it stands; more only between cuts of kinds that it does not hold
 
 
 def is_null_text(s: str | None) -> bool:
@@ -140,11 +140,25 @@ ITEM_KIND = "#"
 
 
 def lattice(s: str) -> list[Edge]:
-    """The edges of a cell's lattice, in order of their first atom."""
+    """The edges of a cell's lattice, in order of their first atom: all of at most MAX_SPAN atoms, and the longer ones
+    that hold no cut of the kinds before and after them, of which the cell's ends are two.
+
+    Longer edges between the same two kinds never overlap, so the lattice and its text stay linear in the cell.
+    """
     atoms, kinds = parse(s)
     n = len(atoms)
     marks = "".join(ITEM_KIND if k == "item" else k for k in kinds)
-    return [(i, j, clean(s[atoms[i][0] : atoms[j - 1][1]]), marks[j - 1 : j], marks[i : j - 1]) for i in range(n) for j in range(i + 1, min(n, i + MAX_SPAN) + 1)]
+    ahead: list[dict[str, int]] = [{}] * (n + 1)  # for each atom, the end of the span up to the next cut of each kind
+    ahead[n] = {"": n}
+    for i in range(n - 1, 0, -1):
+        ahead[i] = {**ahead[i + 1], marks[i - 1]: i}
+    out = []
+    for i in range(n):
+        ends = ahead[i + 1]
+        stop = ends.get(marks[i - 1], n) if i else n
+        reach = {*range(i + 1, min(n, i + MAX_SPAN) + 1), *(j for j in ends.values() if i + MAX_SPAN < j <= stop)}
+        out += [(i, j, clean(s[atoms[i][0] : atoms[j - 1][1]]), marks[j - 1 : j], marks[i : j - 1]) for j in sorted(reach)]
+    return out
 
 
 def _edge_scores(edges: list[Edge], counts, rates) -> list[float]:

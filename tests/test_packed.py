@@ -1,6 +1,6 @@
 import pytest
 
-from palmleaf.operators.packed import clean, lattice, parse, posteriors, unpack, viterbi
+from palmleaf.operators.packed import _edge_scores, clean, lattice, parse, posteriors, unpack, viterbi
 
 CASES = {
     '["a", "b"]': ["a", "b"], "a, b (c, d), e": ["a", "b (c, d)", "e"], '"x ""y""","z, w"': ['x "y"', "z, w"], "1. a 2. b 3. c": ["a", "b", "c"], "(1) a (2) b": ["a", "b"], "- a\n- b (c, d)": ["a", "b (c, d)"],
@@ -39,6 +39,17 @@ def test_long_cell(spark):
     assert unpack(df, "id", "cell").count() == 2000
 
 
+def test_values_of_many_marks():
+    """Where a ';' list holds sentences of many commas, and commas are learned not to part, they stay whole."""
+    lead = ["see", "old", "of a", "from", "mostly"]
+    cells = [[", ".join(f"{w} {chr(97 + (k * 7 + p * 3 + x) % 26)}{k}{p}{x}" for x, w in enumerate(lead)) for p in range(3)] for k in range(40)]
+    edges = lattice("; ".join(cells[0]))
+    assert {(i, j) for i, j, *_ in edges if j - i > 4} == {(0, 5), (5, 10), (10, 15), (0, 15)}
+    assert viterbi(15, edges, _edge_scores(edges, [0.0] * len(edges), {",": 0.005, ";": 0.95})) == cells[0]
+    assert [(i, j) for i, j, *_ in lattice("a; b, c, d, e, f | g") if j - i > 4] == [(0, 6), (0, 7), (1, 6), (1, 7)]
+    assert len(lattice(", ".join(map(str, range(2000))))) < 8000
+
+
 def test_lattice_sums():
     edges = lattice("a, b; c")
     post = posteriors(3, edges, [0.0] * len(edges))
