@@ -1,6 +1,6 @@
 """Defective prompt and response pairs: a multi-label linear classifier over hashed n-grams and pair features.
 
-The labelled rows are synthetic: responses of a bounded sample are emptied, refused, copied, swapped and truncated; the
+The labelled rows are synthetic: responses of a bounded sample are emptied, refused, copied, put in another language and truncated; the
 thresholds are calibrated on the held-out fifth of them.
 """
 
