@@ -213,7 +213,7 @@ _ALL = (
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {
-    "dictionary_clean": O.CLEAN, "dictionary_standardize": O.STANDARD, "dictionary_issues": O.ISSUES, "dictionary_issue_summary": O.ISSUE_SUMMARY, "dictionary_severity_summary": O.SEVERITY_SUMMARY,
+    "p1_found": O.PACKED, "dictionary_clean": O.CLEAN, "dictionary_standardize": O.STANDARD, "dictionary_issues": O.ISSUES, "dictionary_issue_summary": O.ISSUE_SUMMARY, "dictionary_severity_summary": O.SEVERITY_SUMMARY,
     "dictionary_fix": O.FIXED, "dictionary_fix_from_report": O.REPORT_FIXED, "instruction_pairs": O.PAIRS + "SELECT * FROM p", "instruction_quarantine": O.NO_MEANING, "conversation_pairs": O.CONVERSATIONS, "merge_corpus": O.MERGED,
     "improve_corpus": O.IMPROVED, "improve_report": O.IMPROVE_REPORT, "filter_v1": O.KEPT_1, "filter_v1_removed": O.REMOVED_1, "filter_v1_report": O.REPORT_1, "filter_v2": O.KEPT_2, "filter_v2_removed": O.REMOVED_2, "filter_v2_report": O.REPORT_2,
     "duplicate_flags": O.DUPLICATES, "suspicious_records": O.SUSPICIOUS, "validate_corpus": O.VALIDATION, "split_assign": O.SPLITS, "split_stats": O.SPLIT_STATS, "split_pair_leaks": O.PAIR_LEAKS, "split_word_leaks": O.WORD_LEAKS,

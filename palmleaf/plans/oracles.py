@@ -291,3 +291,23 @@ SELECT conv_id, '<|im_start|>user\n' || i || '<|im_end|>\n<|im_start|>assistant\
 PREVIEW = "SELECT record_id AS pos, instruction, response FROM train ORDER BY record_id LIMIT 10"
 PROJECTION = "SELECT batch_size, floor(n / batch_size) * 3 / (20 / 94.0::DOUBLE) / 3600 AS hours FROM (SELECT count(*) AS n FROM train), (VALUES (16), (32), (64)) b(batch_size)"
 LITERALS = "SELECT * FROM (VALUES (0, 'Translate ''{}'' to Tulu.'), (1, 'What is the Tulu meaning of {}?'), (2, 'How do you say {} in Tulu?'), (3, 'Give the Tulu translation of {}.'), (4, 'Tulu word for {}.')) t(pos, template)"
+
+# Packed fields, read as the marks' definitions say, without learning.
+_EDGE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+_HELD = r"""\"(?:[^\"]|\"\")*\"|“[^”]*”|„[^“”]*”|«[^»]*»|「[^」]*」|''[^'']*''|\([^()]*\)|\p{Nd}+(?:[,，]\p{Nd}+)+"""
+_MARK = r"[,;|/，、；｜／·•・‧¦،؛\t\n\r\x{2028}\x{2029}]"
+_NUMBER = r"(?:^|\s)\(?\p{Nd}{1,3}[.)]\s"
+PACKED = rf"""
+WITH c AS (SELECT entry_id, regexp_replace(tulu, '{_EDGE}', '', 'g') AS s FROM clean_dictionary WHERE tulu IS NOT NULL),
+b AS (SELECT entry_id, CASE WHEN starts_with(s, '[') AND ends_with(s, ']') THEN substr(s, 2, length(s) - 2) ELSE s END AS s FROM c WHERE lower(s) NOT IN ('', 'nan', 'na', 'n/a', 'null', 'none', 'nil', '-', '?')),
+t AS (SELECT entry_id, CASE WHEN regexp_matches(s, '^\(?\p{{Nd}}{{1,3}}[.)]\s') THEN regexp_extract_all(s, '{_NUMBER}|{_HELD}|{_MARK}|(?s:.)') ELSE regexp_extract_all(s, '{_HELD}|{_MARK}|(?s:.)') END AS w FROM b),
+u AS (SELECT entry_id, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM t),
+f AS (SELECT *, CAST(regexp_full_match(x, '{_MARK}') OR regexp_full_match(x, '{_NUMBER}') AS INT) AS cut FROM u),
+g AS (SELECT *, sum(cut) OVER (PARTITION BY entry_id ORDER BY k) AS part FROM f),
+p AS (SELECT entry_id, part, regexp_replace(string_agg(x, '' ORDER BY k), '{_EDGE}', '', 'g') AS v FROM g WHERE cut = 0 GROUP BY entry_id, part),
+q AS (SELECT entry_id, part, regexp_replace(v, '^(?:[-*•·–—▪◦‣][\s\p{{Z}}]+)+', '') AS v FROM p),
+r AS (SELECT entry_id, part, CASE WHEN regexp_full_match(v, '"(?:[^"]|"")*"') THEN replace(substr(v, 2, length(v) - 2), '""', '"') WHEN regexp_full_match(v, '“[^”]*”|''[^'']*''|«[^»]*»|„[^”]*”|「[^」]*」') THEN substr(v, 2, length(v) - 2) ELSE v END AS v FROM q),
+z AS (SELECT entry_id, part, regexp_replace(v, '{_EDGE}', '', 'g') AS value FROM r),
+n AS (SELECT entry_id, value, row_number() OVER (PARTITION BY entry_id ORDER BY part) AS pos, count(*) OVER (PARTITION BY entry_id) AS n FROM z WHERE NOT regexp_full_match(value, '[-*•·–—▪◦‣]?'))
+SELECT entry_id, CAST(pos AS INT) AS pos, value FROM n WHERE n > 1
+"""

@@ -1,6 +1,9 @@
+import math
+import random
+
 import pytest
 
-from palmleaf.operators.packed import _edge_scores, clean, lattice, parse, posteriors, unpack, viterbi
+from palmleaf.operators.packed import ITEM_KIND, clean, edge_scores, lattice, parse, posteriors, unpack, viterbi
 
 CASES = {
     '["a", "b"]': ["a", "b"], "a, b (c, d), e": ["a", "b (c, d)", "e"], '"x ""y""","z, w"': ['x "y"', "z, w"], "1. a 2. b 3. c": ["a", "b", "c"], "(1) a (2) b": ["a", "b"], "- a\n- b (c, d)": ["a", "b (c, d)"],
@@ -39,24 +42,53 @@ def test_long_cell(spark):
     assert unpack(df, "id", "cell").count() == 2000
 
 
-def test_values_of_many_marks():
-    """Where a ';' list holds sentences of many commas, and commas are learned not to part, they stay whole."""
-    lead = ["see", "old", "of a", "from", "mostly"]
-    cells = [[", ".join(f"{w} {chr(97 + (k * 7 + p * 3 + x) % 26)}{k}{p}{x}" for x, w in enumerate(lead)) for p in range(3)] for k in range(40)]
-    edges = lattice("; ".join(cells[0]))
-    assert {(i, j) for i, j, *_ in edges if j - i > 4} == {(0, 5), (5, 10), (10, 15), (0, 15)}
-    assert viterbi(15, edges, _edge_scores(edges, [0.0] * len(edges), {",": 0.005, ";": 0.95})) == cells[0]
-    assert [(i, j) for i, j, *_ in lattice("a; b, c, d, e, f | g") if j - i > 4] == [(0, 6), (0, 7), (1, 6), (1, 7)]
-    assert len(lattice(", ".join(map(str, range(2000))))) < 8000
+def segmented(spark, cells):
+    got = [[] for _ in cells]
+    for r in unpack(spark.createDataFrame(list(enumerate(cells)), "id BIGINT, cell STRING"), "id", "cell").orderBy("id", "pos").collect():
+        got[r["id"]].append(r["value"])
+    return got
+
+
+@pytest.mark.parametrize("part,hold", [(";", ","), (",", ";"), ("#", "|")])
+def test_learned_marks(spark, part, hold):
+    """Which mark parts values is learned: the values of the lists hold the other one, and their halves occur nowhere else."""
+    rng = random.Random(1)
+    vocabulary = [f"a{k}{hold} b{k}" for k in range(30)]
+    lists = [rng.sample(vocabulary, rng.randrange(2, 5)) for _ in range(200)]
+    assert segmented(spark, [f"{part} ".join(x) for x in lists]) == lists
+
+
+def test_values_that_hold_many_marks(spark):
+    """Values of six and three inner marks that recur beside different texts stay whole; a plain split would cut them."""
+    six = "a, b, c, d, e, f, g"
+    assert segmented(spark, [f"x{k % 40} | {six}" if k % 2 else f"{six} | y{k % 40}" for k in range(80)]) == [[f"x{k % 40}", six] if k % 2 else [six, f"y{k % 40}"] for k in range(80)]
+    colours = "red, white, blue, green"
+    assert segmented(spark, [f"w{k}; {colours}" if k < 100 else f"w{k - 100}; z{k}" for k in range(200)]) == [[f"w{k}", colours] if k < 100 else [f"w{k - 100}", f"z{k}"] for k in range(200)]
+
+
+def test_repeated_lists_are_no_values(spark):
+    """A list that recurs is still parted where its mark parts values elsewhere."""
+    cells = ["p, q", "p, q | r", "s | p, q"] * 3 + [f"v{k % 7}, v{(k * 3) % 11}" for k in range(60)]
+    assert segmented(spark, cells)[:3] == [["p", "q"], ["p", "q", "r"], ["s", "p", "q"]]
 
 
-def test_lattice_sums():
-    edges = lattice("a, b; c")
-    post = posteriors(3, edges, [0.0] * len(edges))
-    assert [e[3] for e in edges if e[1] - e[0] == 1] == [",", ";", ""] and sum(p for e, p in zip(edges, post) if e[0] == 0) == pytest.approx(1)
-    assert viterbi(3, edges, [1.0 if e[1] - e[0] == 1 else 0.0 for e in edges]) == ["a", "b", "c"]
+def test_lattice():
+    assert lattice("") == [(0, 1)] and lattice(",,") == [(0, 1), (0, 3), (1, 2), (2, 3)]
+    assert lattice(";,,") == [(0, 1), (0, 2), (0, 4), (1, 2), (1, 4), (2, 3), (3, 4)]  # no value beside a mark that it holds
+    assert len(lattice("," * 2000)) == 2002
+    for marks in (",,", ";,,|", ",;,;,"):
+        n, edges = len(marks) + 1, lattice(marks)
+        scores = edge_scores(edges, marks, [1.0 + k % 3 for k in range(len(edges))], {",": 0.7, ";": 0.2})
+        paths = [[]]
+        while any((p[-1][1] if p else 0) < n for p in paths):
+            paths = [q for p in paths for q in ([p] if p and p[-1][1] == n else [[*p, e] for e in edges if e[0] == (p[-1][1] if p else 0)])]
+        weight = [math.exp(sum(scores[edges.index(e)] for e in p)) for p in paths]
+        want = [sum(w for p, w in zip(paths, weight) if e in p) / sum(weight) for e in edges]
+        assert posteriors(n, edges, scores) == pytest.approx(want)
+        assert viterbi(n, edges, scores) == paths[weight.index(max(weight))]
+    assert viterbi(3, lattice(",,"), [0.0] * 4) == [(0, 1), (1, 2), (2, 3)]  # ties part
 
 
 def test_clean():
     assert [clean(x) for x in (' "a" ', "* a", "-", '"a" b "c"', "'it''s'")] == ["a", "a", "", '"a" b "c"', "it's"]
-    assert parse("(1) a (b, c) (2) d")[1] == ["item"]
+    assert [[c[2] for c in g] for g in parse("(1) a (b, c) (2) d; # e #")[2]] == [[ITEM_KIND], [";", "#"]]
