@@ -33,6 +33,11 @@ def mask_prompt(full: Column, prompt_length: Column) -> Column:
     return F.transform(full, lambda x, i: F.when(i < prompt_length, F.lit(MASKED)).otherwise(x))
 
 
+def drop_prompt(full: Column, prompt_length: Column) -> Column:
+    """The ids after the prompt's places; none if the prompt is all there is."""
+    return F.slice(full, prompt_length + 1, F.greatest(F.size(full) - prompt_length, F.lit(0)))
+
+
 def ones(a: Column) -> Column:
     return F.array_repeat(F.lit(1), F.size(a))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from palmleaf.functions import arrays as A
 from palmleaf.functions import text as X
+from palmleaf.runtime import distributed_rank
 
 # The marks of the chat format.
 START, END, THINK = "<|im_start|>", "<|im_end|>", "<think>\n\n</think>\n\n"
@@ -39,9 +40,17 @@ def examples(df: DataFrame, pos: str = "pos", limit: int = 256, tokenize: Callab
     return x.select(pos, "input_ids", A.mask_prompt(F.col("input_ids"), F.least(F.size("prompt"), F.size("input_ids"))).alias("labels"), A.ones(F.col("input_ids")).alias("attention_mask"))
 
 
+def answers(df: DataFrame, pos: str = "pos", tokenize: Callable[[Column], Column] = A.code_points) -> DataFrame:
+    """(pos, answer_ids): the ids of each whole example after those of its prompt."""
+    x = df.select(pos, *(X.strip(F.col(c).cast("string")).alias(n) for c, n in (("instruction", "i"), ("response", "r")))).filter((F.col("i") != "") & (F.col("r") != ""))
+    x = x.select(pos, tokenize(render_full(F.col("i"), F.col("r"))).alias("ids"), tokenize(render_prompt(F.col("i"))).alias("prompt"))
+    return x.select(pos, A.drop_prompt(F.col("ids"), F.size("prompt")).alias("answer_ids"))
+
+
 def pad_batches(df: DataFrame, pos: str = "pos", batch: int = 16, pad_id: int = 0) -> DataFrame:
-    """Examples padded on the right to the longest of their batch of consecutive positions; labels with the mask value."""
-    x = df.withColumn("batch_no", F.floor(F.col(pos) / batch).cast("long"))
+    """Examples padded on the right to the longest of their batch; labels with the mask value. Every batch but the last
+    has `batch` examples, in the order of pos; repeated positions follow one another."""
+    x = distributed_rank(df, None, [F.col(pos).asc_nulls_first()], "batch_no").withColumn("batch_no", F.floor(F.col("batch_no") / batch).cast("long"))
     longest = x.groupBy("batch_no").agg(F.max(F.size("input_ids")).alias("longest"))
     y = x.join(longest, "batch_no")
     to = F.col("longest")
@@ -55,24 +64,36 @@ TOKENIZERS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+EFFICIENCY = "tokenizer STRING, status STRING, texts BIGINT, characters BIGINT, tokens BIGINT"
+
+
 def token_efficiency(texts: DataFrame, column: str = "text", tokenizers: dict | None = None) -> DataFrame:
-    """(tokenizer, status, texts, characters, tokens, average_tokens, characters_per_token): one row per tokenizer, from
-    one pass; a tokenizer that cannot be planned gets a FAILED row."""
+    """(tokenizer, status, texts, characters, tokens, average_tokens, characters_per_token): one row per tokenizer.
+
+    All tokenizers share one pass over the texts. One that cannot be planned gets a FAILED row; if the pass itself fails,
+    each tokenizer is given a pass of its own and those that fail then get the row. Runs at once; only sums come back.
+    """
     tokenizers = TOKENIZERS if tokenizers is None else tokenizers
     c = F.col(column).cast("string")
-    rows, good = [], []
-    for name, f in tokenizers.items():
+    x = texts.filter(c.isNotNull())
+
+    def sums(names):
+        each = (F.coalesce(F.sum(tokenizers[n](c)), F.lit(0)).cast("long") for n in names)
+        return x.agg(F.count(F.lit(1)).alias("texts"), F.coalesce(F.sum(F.length(c)), F.lit(0)).alias("characters"), *(t.alias(f"t_{k}") for k, t in enumerate(each)))
+
+    def attempt(names):
         try:
-            texts.select(f(c))
-            good.append(name)
+            return list(sums(names).first())
         except Exception:  # noqa: BLE001 - any failure of a tokenizer is its result
-            rows.append(name)
-    x = texts.filter(c.isNotNull())
-    sums = x.agg(F.count(F.lit(1)).alias("texts"), F.coalesce(F.sum(F.length(c)), F.lit(0)).alias("characters"), *(F.coalesce(F.sum(tokenizers[n](c)), F.lit(0)).cast("long").alias(f"t_{k}") for k, n in enumerate(good)))
-    each = F.array(*(F.struct(F.lit(n).alias("tokenizer"), F.col(f"t_{k}").alias("tokens")) for k, n in enumerate(good)))
-    out = sums.select("texts", "characters", F.explode(each).alias("t")).select(F.col("t.tokenizer").alias("tokenizer"), F.lit("SUCCESS").alias("status"), "texts", "characters", F.col("t.tokens").alias("tokens"))
-    for name in rows:
-        out = out.unionByName(sums.select(F.lit(name).alias("tokenizer"), F.lit("FAILED").alias("status"), *(F.lit(None).cast("long").alias(c) for c in ("texts", "characters", "tokens"))))
+            return None
+
+    names = list(tokenizers)
+    together = attempt(names)
+    rows = []
+    for k, n in enumerate(names):
+        got = [*together[:2], together[2 + k]] if together else attempt([n])
+        rows.append((n, "SUCCESS", *got) if got else (n, "FAILED", None, None, None))
+    out = texts.sparkSession.createDataFrame(rows, EFFICIENCY)
     return out.select("*", F.try_divide(F.col("tokens").cast("double"), "texts").alias("average_tokens"), F.when(F.col("status") == "SUCCESS", F.coalesce(F.try_divide(F.col("characters").cast("double"), "tokens"), F.lit(0.0))).alias("characters_per_token"))
 
 

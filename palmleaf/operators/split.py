@@ -82,3 +82,42 @@ def python_order(keys: list, singles: list, ratios=RATIOS, seed: int = 42) -> di
             at += n
         out.update(dict.fromkeys(items[at:], ratios[-1][0]))
     return out
+
+
+def python_positions(spark, sizes: list[int], seed: int = 42) -> DataFrame:
+    """(list_no, at, item): where the standard generator's shuffles, one list after the other, put item 0..n-1 of each.
+
+    The generator is one sequence by definition, so one task draws it, knowing sizes only: 8 bytes an item of the
+    longest list. Keys and rows stay where they are and join by rank; nothing comes to the driver.
+    """
+
+    def run(batches):
+        import random
+        from array import array
+
+        import pyarrow as pa
+
+        for _ in batches:
+            rng = random.Random(seed)
+            for no, n in enumerate(sizes):
+                items = array("q", range(n))
+                rng.shuffle(items)
+                for lo in range(0, n, 1 << 16):
+                    part = items[lo : lo + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array([no] * len(part), pa.int32()), pa.array(range(lo, lo + len(part)), pa.int64()), pa.array(part, pa.int64())], names=["list_no", "at", "item"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "list_no INT, at BIGINT, item BIGINT")
+
+
+def assign_python_order(heads: DataFrame, singles: DataFrame, word: str = "word", pos: str = "pos", ratios=RATIOS, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """((word, split), (pos, split)): the ratios cut after the standard generator's shuffles of the distinct words, in
+    their order, and then of the single records, in theirs."""
+    check_ratios(ratios)
+    ranked = [distributed_rank(heads.select(word).distinct(), None, [F.col(word)], "item"), distributed_rank(singles.select(pos), None, [F.col(pos)], "item")]
+    sizes = [x.count() for x in ranked]
+    places = materialize(python_positions(heads.sparkSession, sizes, seed), "places")
+    out = []
+    for no, (x, c) in enumerate(zip(ranked, (word, pos))):
+        at = places.filter(F.col("list_no") == no).select("item", "at")
+        out.append(x.join(at, "item").select(c, _label(F.col("at"), sizes[no], ratios).alias("split")))
+    return out[0], out[1]

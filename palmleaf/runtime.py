@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -68,21 +69,28 @@ def drop_materialized(df: DataFrame) -> None:
             _delete(df.sparkSession, parent)
 
 
+@atexit.register
+def _at_exit() -> None:
+    """Written tables end with the driver's process."""
+    spark = SparkSession.getActiveSession() if _written else None
+    if spark is not None:
+        try:
+            release_all(spark)
+        except Exception:  # noqa: BLE001 - the session may be gone already
+            _written.clear()
+
+
 def release_all(spark: SparkSession) -> None:
     """Delete every table this session wrote to the shared folder. Results not yet stored are lost with them."""
     for path in list(_written):
         _delete(spark, path)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, least: int = 1 << 20) -> DataFrame:
-    """A table by name. One small file is one task whatever the cores: if it is worth it, its rows are dealt to all."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    if status.isFile() and least <= status.getLen() <= status.getBlockSize() * 4:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table by name. A scan of fewer splits than there are cores is dealt to all cores; larger ones are left as they are."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def free_name(df: DataFrame, want: str) -> str:

@@ -209,3 +209,23 @@ def test_report_texts(spark):
     assert "Records : 1" in reports.as_text(one, "T") and json.loads(reports.as_json(one)) == {"records": 1, "share": 2.0}
     with pytest.raises(ValueError):
         reports.one_row(one.union(one))
+
+
+def test_python_order_beyond_the_driver(spark):
+    words, singles = [f"w{k:03d}" for k in range(57)], list(range(100, 133))
+    want = S.python_order(words, singles)
+    a, b = S.assign_python_order(spark.createDataFrame([(w,) for w in words * 2], "word STRING"), spark.createDataFrame([(k,) for k in singles], "pos BIGINT"))
+    assert {r[0]: r[1] for r in a.collect()} | {r[0]: r[1] for r in b.collect()} == want
+    assert S.python_positions(spark, []).count() == 0
+
+
+def test_padding_counts_examples_not_positions(spark):
+    x = spark.createDataFrame([(k * 7, [1] * (k + 1), [1] * (k + 1), [1] * (k + 1)) for k in range(20)], "pos BIGINT, input_ids ARRAY<INT>, labels ARRAY<INT>, attention_mask ARRAY<INT>")
+    got = {r["pos"]: (r["batch_no"], len(r["input_ids"]), sum(r["attention_mask"]), r["labels"].count(-100)) for r in E.pad_batches(x).collect()}
+    assert got == {k * 7: (k // 16, 16 if k < 16 else 20, k + 1, (16 if k < 16 else 20) - k - 1) for k in range(20)}
+
+
+def test_failing_tokenizer_is_a_row(spark):
+    bad = F.pandas_udf(lambda x: x.map(lambda t: 1 // 0), "long")
+    got = E.token_efficiency(spark.createDataFrame([("ab",), (None,)], "text STRING"), tokenizers={"n": F.length, "bad": bad}).collect()
+    assert [(r["tokenizer"], r["status"], r["tokens"]) for r in got] == [("n", "SUCCESS", 2), ("bad", "FAILED", None)]

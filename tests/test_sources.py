@@ -39,14 +39,18 @@ def test_write_routed(spark, tmp_path):
 
 
 def test_xlsx_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("a <&> b", "ಕ\nಗ", 3), (None, " x ", None)], "` English ` STRING, Tulu STRING, n INT")
-    p = f"{tmp_path}/t.xlsx"
-    xlsx.write(df, p)
+    df = spark.createDataFrame([("a <&> b", "ಕ\nಗ", 3, 2.5, True, "NA"), (None, " x ", None, 4.0, False, "7"), ("n/a", "y", 12, None, None, None)], "` English ` STRING, Tulu STRING, n INT, r DOUBLE, b BOOLEAN, m STRING")
+    p = f"{tmp_path}/deep/er/t.xlsx"
+    assert xlsx.write(df, p) == 3
     got = xlsx.read(spark, p)
-    assert got.columns == ["file", "pos", "English", "Tulu", "n"]
-    assert [tuple(r)[1:] for r in got.orderBy("pos").collect()] == [(0, "a <&> b", "ಕ\nಗ", "3"), (1, None, " x ", None)]
-    with pytest.raises(ValueError):
-        xlsx.write(df, p, max_rows=1)
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [("file", "string"), ("pos", "bigint"), ("English", "string"), ("Tulu", "string"), ("n", "bigint"), ("r", "double"), ("b", "boolean"), ("m", "string")]
+    assert [tuple(r)[1:] for r in got.orderBy("pos").collect()] == [(0, "a <&> b", "ಕ\nಗ", 3, 2.5, True, None), (1, None, " x ", None, 4.0, False, "7"), (2, None, "y", 12, None, None, None)]
+    assert [r["m"] for r in xlsx.read(spark, p, infer=False).orderBy("pos").collect()] == ["NA", "7", None]
+    many = spark.range(25).selectExpr("id", "CASE WHEN id > 3 THEN id / 2 END AS half").repartition(3)
+    assert xlsx.write_parts(many, f"{tmp_path}/parts", sheet_rows=4) == 25
+    back = xlsx.read(spark, f"{tmp_path}/parts")
+    assert back.count() == 25 and back.filter("id > 3 AND half = id / 2").count() == 21 and back.select("file").distinct().count() >= 7
+    assert xlsx.write(df.limit(0), f"{tmp_path}/none.xlsx") == 0 and xlsx.read(spark, f"{tmp_path}/none.xlsx").count() == 0
 
 
 def test_tables(spark, tmp_path):
