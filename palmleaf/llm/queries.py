@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palmleaf.llm.cross_split import find_overlaps
 from palmleaf.llm.formatting_copies import collapse, runs_of_copies
 from palmleaf.llm.groups import assign_splits, tie_by_headword
 from palmleaf.llm.leaks import find_leaks
-from palmleaf.llm.mixing import mix
+from palmleaf.llm.mixing import mix, quotas
 from palmleaf.llm.pair_defects import flag_defects, train
 from palmleaf.llm.pieces import cut_oversized
 from palmleaf.llm.visual import add_canonical, same_look_pairs
@@ -66,11 +69,24 @@ def p5_found(spark, d):
     return find_overlaps(read_table(spark, d, "train"), _evals(spark, d)).select("train_id", "eval_id")
 
 
+def _sources(spark, d, *names):
+    return functools.reduce(DataFrame.unionByName, (read_table(spark, d, n).select("record_id", "source", F.lit(n).alias("split")) for n in names))
+
+
 def p5_report(spark, d):
-    """Overlapping records and pairs per evaluation split and source, of either side."""
+    """Overlaps per evaluation split, its source and the source of the training record: pairs and distinct records of
+    either side, and the words of the pairs' evaluation records that lie in spans shared with the training record."""
     pairs = find_overlaps(read_table(spark, d, "train"), _evals(spark, d))
-    side = read_table(spark, d, "validation").select(F.col("record_id").alias("eval_id"), F.lit("validation").alias("split"), "source").unionByName(read_table(spark, d, "test").select(F.col("record_id").alias("eval_id"), F.lit("test").alias("split"), "source"))
-    return pairs.join(side, "eval_id").groupBy("split", "source").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("eval_id").alias("eval_records"), F.countDistinct("train_id").alias("train_records"))
+    e = _sources(spark, d, "validation", "test").select(F.col("record_id").alias("eval_id"), "split", "source")
+    t = _sources(spark, d, "train").select(F.col("record_id").alias("train_id"), F.col("source").alias("train_source"))
+    by = pairs.join(e, "eval_id").join(t, "train_id").groupBy("split", "source", "train_source")
+    return by.agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("eval_id").alias("eval_records"), F.countDistinct("train_id").alias("train_records"), F.sum("edits").alias("edits"), F.sum("words").alias("words"))
+
+
+def p5_coverage(spark, d):
+    """Each evaluation record that overlaps: its training records, and the most words of it that one of them covers."""
+    pairs = find_overlaps(read_table(spark, d, "train"), _evals(spark, d))
+    return pairs.groupBy("eval_id").agg(F.count(F.lit(1)).alias("train_records"), F.max("covered").alias("covered"), F.min("edits").alias("least_edits"))
 
 
 def p6_found(spark, d):
@@ -101,11 +117,40 @@ def p8_shares(spark, d):
     return mix(read_table(spark, d, "documents"), read_table(spark, d, "source_targets"))[1]
 
 
+def p8_checks(spark, d):
+    """What must hold of each target: no document beyond the cap, uses of documents that differ by one at most, the share
+    that the tokens of all sources and the caps allow, and rows that number 1 to n in each shard."""
+    mixture, shares = mix(read_table(spark, d, "documents"), read_table(spark, d, "source_targets"))
+    each = mixture.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    spread = each.groupBy("source").agg(F.max("n").alias("most"), F.min("n").alias("least"), F.count(F.lit(1)).alias("used"))
+    numbered = mixture.groupBy("shard").agg((F.max("pos") == F.count(F.lit(1))).alias("ok")).filter("NOT ok").isEmpty()
+    rows = {r["source"]: r for r in shares.collect()}  # one per target
+    take = quotas({s: r["source_tokens"] for s, r in rows.items()}, {s: (r["target_share"], r["max_repeats"]) for s, r in rows.items()})
+    longest = mixture.agg(F.max("tokens")).first()[0] or 0
+    goals = spark.createDataFrame([(s, take.get(s, 0), longest) for s in rows], "source STRING, quota BIGINT, longest BIGINT")
+    x = shares.join(goals, "source").join(spread, "source", "left")
+    every = (F.col("used") < F.col("documents")) | (F.col("most") - F.col("least") <= 1)
+    return x.select("source", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_cap"), F.coalesce(every, F.lit(True)).alias("even"), F.col("tokens").between(F.col("quota"), F.col("quota") + F.col("longest")).alias("share_met"), F.lit(numbered).alias("numbered"))
+
+
+def p9_checks(spark, d):
+    """What must hold of each profile: pieces within the limit, in order, with overlaps within theirs, that give the text
+    again without the overlaps."""
+    docs, limits = read_table(spark, d, "documents"), read_table(spark, d, "piece_limits")
+    pieces = cut_oversized(docs, limits)
+    per = pieces.groupBy("doc_id", "profile").agg(F.sort_array(F.collect_list(F.struct("piece_no", "start_char", "end_char", "piece"))).alias("p"), F.max("n_tokens").alias("most"), F.max("overlap_tokens").alias("shared"))
+    fresh = F.transform("p", lambda x, k: F.substring(x["piece"], (F.when(k > 0, F.get(F.col("p"), k - 1)["end_char"]).otherwise(0) - x["start_char"] + 1).cast("int"), F.lit((1 << 31) - 1)))
+    per = per.join(docs.select("doc_id", "text"), "doc_id").join(F.broadcast(limits.select("profile", "max_tokens", F.col("overlap_tokens").alias("allowed"))), "profile")
+    numbered = F.forall(F.transform("p", lambda x, k: x["piece_no"] == k), lambda ok: ok)
+    seen = per.groupBy("profile").agg(F.every(F.array_join(fresh, "") == F.col("text")).alias("rebuilt"), F.every(F.col("most") <= F.col("max_tokens")).alias("within_limit"), F.every(F.col("shared") <= F.col("allowed")).alias("within_overlap"), F.every(numbered).alias("in_order"))
+    return limits.select("profile").join(seen, "profile", "left").na.fill(True)
+
+
 def p9_pieces(spark, d):
     return cut_oversized(read_table(spark, d, "documents"), read_table(spark, d, "piece_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_splits, p3_shares, p4_found, p4_counts, p5_found, p5_report, p6_found, p6_canonical, p7_found, p7_report, p8_mixture, p8_shares, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_splits, p3_shares, p4_found, p4_counts, p5_found, p5_report, p5_coverage, p6_found, p6_canonical, p7_found, p7_report, p8_mixture, p8_shares, p8_checks, p9_pieces, p9_checks)}
 
 _LETTERS = r"coalesce(lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')), '')"
 _META = "CASE WHEN meta IS NULL THEN NULL ELSE list_transform(list_sort(json_keys(meta)), lambda k: k || '=' || CAST(json_extract(meta, '$.\"' || k || '\"') AS VARCHAR)) END"
@@ -131,6 +176,21 @@ reach(x, y) AS (SELECT x, y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e O
 root AS (SELECT reach.x, min(n.record_id) AS first_id FROM reach JOIN n ON n.x = reach.y GROUP BY reach.x)
 SELECT DISTINCT first_id, record_id FROM n JOIN root USING (x) WHERE record_id <> first_id
 """
+_SPLIT = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{M}}\p{{N}}]+')"
+# All pairs of texts whose lengths and numbers of common words allow it, then the edit distance row by row.
+_NEAR5 = f"""
+WITH RECURSIVE e AS (SELECT record_id, source, 'validation' AS split, instruction, response FROM validation UNION ALL SELECT record_id, source, 'test', instruction, response FROM test),
+tw AS (SELECT record_id, source, coalesce({_SPLIT.format("instruction")}, []) AS i, coalesce({_SPLIT.format("response")}, []) AS r FROM train),
+ew AS (SELECT record_id, source, split, coalesce({_SPLIT.format("instruction")}, []) AS i, coalesce({_SPLIT.format("response")}, []) AS r FROM e),
+c AS (SELECT tw.record_id AS train_id, ew.record_id AS eval_id, tw.source AS train_source, ew.source, split, tw.i AS ti, tw.r AS tr, ew.i AS ei, ew.r AS er, greatest(len(tw.i), len(ew.i)) AS ni, greatest(len(tw.r), len(ew.r)) AS nr FROM tw JOIN ew
+  ON abs(len(tw.i) - len(ew.i)) <= greatest(len(tw.i), len(ew.i)) // 10 AND abs(len(tw.r) - len(ew.r)) <= greatest(len(tw.r), len(ew.r)) // 10
+  WHERE (CASE WHEN ni < 10 THEN tw.i = ew.i ELSE len(list_intersect(tw.i, ew.i)) >= len(list_distinct(ew.i)) - ni // 10 END) AND (CASE WHEN nr < 10 THEN tw.r = ew.r ELSE len(list_intersect(tw.r, ew.r)) >= len(list_distinct(ew.r)) - nr // 10 END)),
+todo AS (SELECT DISTINCT a, b FROM (SELECT ti AS a, ei AS b FROM c UNION ALL SELECT tr, er FROM c) WHERE a <> b),
+step(a, b, k, line) AS (SELECT a, b, 0, range(len(b) + 1) FROM todo
+  UNION ALL SELECT a, b, k + 1, list_transform(range(len(b) + 1), lambda j: list_min(list_transform(range(j + 1), lambda x: CASE WHEN x = 0 THEN k + 1 ELSE least(line[x + 1] + 1, line[x] + CASE WHEN a[k + 1] = b[x] THEN 0 ELSE 1 END) END + j - x))) FROM step WHERE k < len(a)),
+cost AS (SELECT a, b, line[-1] AS n FROM step WHERE k = len(a)),
+p AS (SELECT c.*, coalesce(x.n, 0) AS di, coalesce(y.n, 0) AS dr FROM c LEFT JOIN cost x ON x.a = ti AND x.b = ei LEFT JOIN cost y ON y.a = tr AND y.b = er WHERE coalesce(x.n, 0) <= ni // 10 AND coalesce(y.n, 0) <= nr // 10)
+"""
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+')"
 _FOUND7 = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_WORDS} AS w FROM eval_items),
@@ -142,5 +202,9 @@ ORACLES = {
     "p2_found": _COPIES + "SELECT first_id, record_id FROM f WHERE record_id <> first_id",
     "p2_collapsed": _COPIES + "SELECT first_id AS record_id, count(*) AS copies FROM f GROUP BY first_id",
     "p3_found": _FOUND3,
+    "p5_found": _NEAR5 + "SELECT train_id, eval_id FROM p",
+    "p5_report": _NEAR5 + "SELECT split, source, train_source, count(*) AS pairs, count(DISTINCT eval_id) AS eval_records, count(DISTINCT train_id) AS train_records, CAST(sum(di + dr) AS BIGINT) AS edits, CAST(sum(ni + nr) AS BIGINT) AS words FROM p GROUP BY ALL",
     "p7_found": _FOUND7,
+    "p8_checks": "SELECT source, true AS within_cap, true AS even, true AS share_met, true AS numbered FROM source_targets",
+    "p9_checks": "SELECT profile, true AS rebuilt, true AS within_limit, true AS within_overlap, true AS in_order FROM piece_limits",
 }

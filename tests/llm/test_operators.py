@@ -8,11 +8,11 @@ import regex
 from pyspark.sql import functions as F
 
 from palmleaf.llm import pair_defects as P
-from palmleaf.llm.cross_split import edits, find_overlaps, stride
+from palmleaf.llm.cross_split import common, edits, find_overlaps, overlap_classes, stride
 from palmleaf.llm.formatting_copies import collapse, runs_of_copies
 from palmleaf.llm.groups import assign_splits, headwords, spanning_forest, tie_by_headword
 from palmleaf.llm.leaks import bounds, find_leaks
-from palmleaf.llm.mixing import mix, quotas, splitting_tree
+from palmleaf.llm.mixing import Tree, mix, permuted, quotas
 from palmleaf.llm.pieces import cut_oversized
 from palmleaf.llm.tokens import Counter, count_tokens
 from palmleaf.llm.visual import add_canonical, same_look_pairs
@@ -149,6 +149,23 @@ def test_edits():
     assert all(stride(m) >= 1 for m in range(18, 500))
 
 
+def test_one_opening_of_all_records(spark):
+    """A phrase that all records begin with makes one interval; it is not compared all with all, and nothing is missed."""
+    say = lambda k, last: f"it is an old saying of ours that {' '.join(f'x{(k * 31 + j * 7) % 997}' for j in range(5))} {last}"
+    train = [(k, f"please tell me now what is meant by the word w{k}", say(k, "end"), None) for k in range(1500)]
+    evals = [(10_000 + k, f"please tell me now what is meant by the word w{k}", say(k, "other"), None) for k in range(0, 1500, 10)]
+    got = find_overlaps(records(spark, *train), records(spark, *evals), hot_pairs=1000)
+    assert {(r["train_id"], r["eval_id"]) for r in got.collect()} >= {(k, 10_000 + k) for k in range(0, 1500, 10)}
+
+
+def test_common_prefixes():
+    a = np.zeros((3, 44), np.uint8)
+    b = a.copy()
+    b[1, 14] = 1
+    b[2, 0] = 1
+    assert common(a, b).tolist() == [12, 2, 0]
+
+
 def test_overlaps_against_brute_force(spark):
     rng = random.Random(2)
     vocabulary = [f"w{k}" for k in range(40)]
@@ -176,8 +193,11 @@ def test_overlaps_against_brute_force(spark):
             d = [(words(p), words(q)) for p, q in ((a, x), (b, y))]
             if all(edits(p, q, max(len(p), len(q)) // 10) <= max(len(p), len(q)) // 10 for p, q in d):
                 want.add((i, j))
-    got = find_overlaps(records(spark, *train), records(spark, *evals)).collect()
-    assert len(want) > 60 and {(r["train_id"], r["eval_id"]) for r in got} == want and len(got) == len(want)
+    for most in (1 << 17, 1):  # all intervals plain, and all of several records split by rare words
+        got = find_overlaps(records(spark, *train), records(spark, *evals), hot_pairs=most).collect()
+        assert len(want) > 60 and {(r["train_id"], r["eval_id"]) for r in got} == want and len(got) == len(want)
+    links, members = overlap_classes(records(spark, *train), records(spark, *evals))
+    assert links.count() < len(want) and members.count() == len({i for i, _ in want}) + len({j for _, j in want})
     assert find_overlaps(records(spark, *train).limit(0), records(spark, *evals)).count() == 0
 
 
@@ -263,7 +283,7 @@ def test_mixing(spark):
     docs = [(k, " ".join(["water"] * rng.randrange(0, 60)), rng.choice(["a", "a", "a", "b", "c", None])) for k in range(600)] + [(900, None, "a")]
     D = spark.createDataFrame(docs, "doc_id BIGINT, text STRING, source STRING")
     T = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 3), ("z", 0.1, 2)], "source STRING, target_share DOUBLE, max_repeats INT")
-    m, s = mix(D, T, shards=8, block_tokens=256)
+    m, s = mix(D, T, shard_tokens=1000, block_tokens=256)
     got, by = m.collect(), {r["source"]: r for r in s.collect()}
     uses = collections.Counter((r["doc_id"], r["source"]) for r in got)
     assert max(n for (_, src), n in uses.items() if src == "a") == 1 and max(n for (_, src), n in uses.items() if src == "b") <= 3
@@ -272,16 +292,34 @@ def test_mixing(spark):
         assert by[src]["tokens"] == sum(r["tokens"] for r in got if r["source"] == src)
     for shard in {r["shard"] for r in got}:
         assert sorted(r["pos"] for r in got if r["shard"] == shard) == list(range(1, 1 + sum(r["shard"] == shard for r in got)))
-    held = {r["source"]: r["actual_share"] for r in mix(D, T, hold_shares=True, shards=4, block_tokens=256)[1].collect()}
+    held = {r["source"]: r["actual_share"] for r in mix(D, T, hold_shares=True, shard_tokens=2000, block_tokens=256)[1].collect()}
     assert abs(held["a"] - 0.5 / 0.9) < 0.01
     assert mix(D.limit(0), T)[0].count() == 0 and mix(D, T.limit(0))[0].count() == 0
 
 
 def test_quotas_and_tree():
-    assert quotas({"a": 100, "b": 10}, {"a": (0.5, 1), "b": (0.5, 2), "c": (0.3, 1)}) == {"a": 55, "b": 20}
+    assert quotas({"a": 100, "b": 10}, {"a": (0.5, 1), "b": (0.5, 2), "c": (0.3, 1)}) == {"a": 90, "b": 20}
+    assert quotas({"a": 100, "b": 10, "d": 50}, {"a": (0.3, 3), "b": (0.3, 2), "d": (0.4, 9)}) == {"a": 60, "b": 20, "d": 80}
+    assert quotas({"a": 100, "b": 10}, {"a": (0.5, 1), "b": (0.5, 2)}, wanted=10_000) == {"a": 100, "b": 20}
     assert quotas({"a": 100, "b": 10}, {"a": (0.5, 1), "b": (0.5, 2)}, hold_shares=True) == {"a": 20, "b": 20}
-    t = splitting_tree(np.array([100, 7, 0]), 6, 1)
-    assert t.sum(axis=0).tolist() == [100, 7, 0] and max(t.sum(axis=1)) - min(t.sum(axis=1)) <= 2
+    blocks = [100, 7, 0, 300]
+    source = np.repeat(np.arange(4), blocks)
+    block = np.concatenate([np.arange(b) for b in blocks])
+    shard = Tree(blocks, 6, 1).place(source, block)
+    sizes = np.bincount(shard, minlength=6)
+    assert sizes.sum() == 407 and sizes.max() - sizes.min() <= 3
+    some = np.arange(0, 407, 5)  # another task, other blocks: the same places
+    assert (Tree(blocks, 6, 1).place(source[some], block[some]) == shard[some]).all()
+
+
+@pytest.mark.parametrize("m", [1, 2, 3, 17, 1000, 4096])
+def test_permutation(m):
+    p = permuted(np.arange(m), m, 3)
+    assert sorted(p.tolist()) == list(range(m))
+    if m >= 1000:
+        steps = np.diff(p) % m
+        assert len(np.unique(steps)) > m // 2  # no arithmetic progression
+        assert abs(np.corrcoef(np.arange(m), p)[0, 1]) < 0.1
 
 
 # 9
