@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from palmleaf.llm.codepoints import U64, Words, chunks, gram_hash, splitmix
 
-SCHEMA = "doc_id BIGINT, item_id BIGINT, windows BIGINT, exact_windows BIGINT, item_windows BIGINT, similarity DOUBLE, item_similarity DOUBLE"
+SCHEMA = "doc_id BIGINT, item_id BIGINT, windows BIGINT, exact_windows BIGINT, item_windows BIGINT, window_words BIGINT, similarity DOUBLE, item_similarity DOUBLE"
 
 
 def simhash(shingles: np.ndarray, per: int) -> np.ndarray:
@@ -38,34 +38,39 @@ def bounds(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cut, cut[1:])]
 
 
+WORD_BYTES = 56  # what a word of an item takes in an index, at most: hashes, fingerprint, and its place in three blocks
+
+
 class Index:
-    """Fingerprints of all windows of the items, by Hamming block."""
+    """Fingerprints of all windows of the items, by Hamming block. Texts are kept once, as word and shingle hashes; a
+    window is its first word's place."""
 
     FLAGS = 22
 
     def __init__(self, ids: np.ndarray, texts: pa.Array, window: int, shingle: int, radius: int):
         w = Words(texts)
         self.window, self.shingle, self.radius, self.per = window, shingle, radius, window - shingle + 1
-        start = np.arange(max(0, len(w.hash) - window + 1))
+        start = np.arange(max(0, len(w.hash) - window + 1), dtype=np.int32)
         start = start[w.row[start] == w.row[start + window - 1]] if len(start) else start
-        self.item = np.asarray(ids, np.int64)[w.row[start]]
-        sh = gram_hash(w.hash, shingle)
-        self.finger = simhash(sh, self.per)[start] if len(start) else np.zeros(0, U64)
-        self.words = w.hash[start[:, None] + np.arange(window)] if len(start) else np.zeros((0, window), U64)
-        self.shingles = sh[start[:, None] + np.arange(self.per)] if len(start) else np.zeros((0, self.per), U64)
-        self.source = w.row[start]
-        self.length = w.count
-        self.whole = {int(r): np.unique(sh[w.first[r] : w.first[r] + w.count[r] - shingle + 1]) for r in np.unique(self.source)}
-        self.no, self.per_item = np.unique(self.item, return_inverse=True) if len(start) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        self.size = np.bincount(self.per_item, minlength=len(self.no)) if len(start) else np.zeros(0, np.int64)
+        self.words, self.start = w.hash, start
+        self.sh = gram_hash(w.hash, shingle)
+        self.finger = simhash(self.sh, self.per)[start] if len(start) else np.zeros(0, U64)
+        self.first, self.length, self.source = w.first, w.count, w.row
+        self.no, of = np.unique(np.asarray(ids, np.int64), return_inverse=True)
+        self.item_of_row = of.astype(np.int32)
+        self.size = np.bincount(self.item_of_row[w.row[start]], minlength=len(self.no)) if len(start) else np.zeros(len(self.no), np.int64)
         self.blocks = []
         for shift, bits in bounds(radius):
-            key = (self.finger >> U64(shift)) & U64((1 << bits) - 1)
-            order = np.argsort(key, kind="stable")
+            key = ((self.finger >> U64(shift)) & U64((1 << bits) - 1)).astype(np.uint32 if bits <= 32 else U64)
+            order = np.argsort(key, kind="stable").astype(np.int32)
             flags = np.zeros(1 << self.FLAGS, bool)
             flags[self.short(key)] = True
             self.blocks.append((U64(shift), U64((1 << bits) - 1), key[order], order, flags))
 
+    def item(self, win: np.ndarray) -> np.ndarray:
+        """Number of the item that windows belong to."""
+        return self.item_of_row[self.source[self.start[win]]].astype(np.int64)
+
     def short(self, key: np.ndarray) -> np.ndarray:
         return (splitmix(key) >> U64(64 - self.FLAGS)).astype(np.int64)
 
@@ -73,7 +78,7 @@ class Index:
         """All (position in finger, window of the index) within the radius."""
         at, win = [], []
         for shift, mask, keys, order, flags in self.blocks:
-            key = (finger >> shift) & mask
+            key = ((finger >> shift) & mask).astype(keys.dtype)
             hit = np.flatnonzero(flags[self.short(key)])
             if not len(hit):
                 continue
@@ -93,16 +98,17 @@ class Index:
     def verify(self, a: np.ndarray, b: np.ndarray, words: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weighted Jaccard similarity of the shingles, and whether all words are the same in order."""
         x = shingles[a[:, None] + np.arange(self.per)]
-        y = self.shingles[b]
+        y = self.sh[self.start[b][:, None] + np.arange(self.per)]
         common = (weights(x) * (x[:, :, None] == y[:, None, :]).any(axis=2)).sum(axis=1)
         union = weights(x).sum(axis=1) + weights(y).sum(axis=1) - common
-        exact = (words[a[:, None] + np.arange(self.window)] == self.words[b]).all(axis=1)
+        exact = (words[a[:, None] + np.arange(self.window)] == self.words[self.start[b][:, None] + np.arange(self.window)]).all(axis=1)
         return np.maximum(common / union, exact), exact
 
     def passage(self, row: int, found: np.ndarray, sh: np.ndarray, lo: int, hi: int) -> float:
         """The best weighted Jaccard similarity of an item with the item-sized windows of the words lo..hi that hold a
         window found."""
-        own, per = self.whole[row], self.shingle - 1
+        at = int(self.first[row])
+        own, per = np.unique(self.sh[at : at + int(self.length[row]) - self.shingle + 1]), self.shingle - 1
         size = min(int(self.length[row]), hi - lo)
         starts = np.unique(np.clip(np.unique(found)[:, None] - np.arange(size - self.window + 1), lo, hi - size))
         weight, best = weights(own).sum(), 0.0
@@ -116,31 +122,37 @@ class Index:
         return min(best, 1.0)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shingle: int = 5, radius: int = 2, similarity: float = 0.8, index_bytes: int = 64 << 20) -> DataFrame:
-    """One row per (document, item) of which some `window`-word passages are alike.
+def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shingle: int = 5, radius: int = 2, similarity: float = 0.8, index_bytes: int = 128 << 20) -> DataFrame:
+    """One row per (document, item) of which some passages are alike.
+
+    Every `window`-word window of every item is fingerprinted, and the whole of an item of fewer words (of `shingle` or
+    more); every window of every document is looked up by radius + 1 Hamming blocks, so no fingerprint within the radius
+    is missed, and each candidate is verified by the exact weighted similarity of its word shingles. window_words tells
+    the windows' size for the item. exact_windows counts distinct windows of the item found word for word.
 
-    Every window of every item is fingerprinted; every window of every document is looked up by radius + 1 Hamming
-    blocks, so no fingerprint within the radius is missed, and each candidate is verified by the exact weighted
-    similarity of its word shingles. exact_windows counts distinct windows of the item found word for word.
     item_similarity is that of the whole item with the document's best passage of the item's size, changed words
     included; 0 if under `similarity`. Such a passage holds `window` words of the item unchanged (at 0.8, 10 and 5
-    words, repeated shingles aside), so those around the windows found are compared. Documents are read once and never
-    shuffled. The items' index is broadcast in blocks of at most index_bytes of text, each block one pass over the
-    documents; with more items than fit one block the passes follow one another.
+    words, repeated shingles aside), so those around the windows found are compared. Documents are never shuffled.
 
-    Rows with a null id are left out. Null, empty and short texts (under `window` words) match nothing; equal items each get their own rows; extra
-    columns on either side are ignored; empty tables give no rows.
+    The items are broadcast in blocks whose index takes at most index_bytes in a worker (WORD_BYTES for each word,
+    counted beforehand); each block is one pass over the documents, so more items cost more passes and no more memory.
+
+    Rows with a null id are left out. Null, empty and short texts (under `shingle` words) match nothing; equal items each
+    get their own rows; extra columns on either side are ignored; empty tables give no rows.
     """
+    n = F.regexp_count(F.lower("t"), F.lit(r"[\p{L}\p{M}\p{N}]+"))
     it = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter(F.col("i").isNotNull() & F.col("t").isNotNull())
-    total = it.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // index_bytes))
+    it = it.withColumn("n", n).filter(F.col("n") >= shingle)
+    sizes = [r[0] for r in it.select(F.least("n", F.lit(window)).alias("w")).distinct().collect()]  # at most window
+    total = it.agg(F.sum("n")).first()[0] or 0
+    blocks = max(1, -(-int(total) * WORD_BYTES // index_bytes))
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    out = None
-    for k in range(blocks):
+    out = None if sizes else docs.sparkSession.createDataFrame([], SCHEMA)
+    for k in range(blocks if sizes else 0):
         part = it if blocks == 1 else it.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k)
-        rows = part.collect()  # at most about index_bytes of text
-        held = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
-        found = src.mapInArrow(_scan(held, window, shingle, radius, similarity), SCHEMA)
+        rows = part.select("i", "t", F.least("n", F.lit(window)).alias("w")).collect()  # about index_bytes / WORD_BYTES words
+        held = docs.sparkSession.sparkContext.broadcast({w: ([r[0] for r in rows if r[2] == w], [r[1] for r in rows if r[2] == w]) for w in sizes})
+        found = src.mapInArrow(_scan(held, shingle, radius, similarity), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -148,62 +160,69 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
 _built: dict = {}
 
 
-def _scan(held, window, shingle, radius, similarity):
-    key = uuid.uuid4().hex  # of this index, in every worker process
+def _scan(held, shingle, radius, similarity):
+    key = uuid.uuid4().hex  # of these indexes, in every worker process
 
     def run(batches):
-        ix = _built.get(key)
-        if ix is None:
-            ids, texts = held.value
-            ix = Index(np.array(ids, np.int64), pa.array(texts, pa.string()), window, shingle, radius)
+        have = _built.get(key)
+        if have is None:
+            have = [Index(np.array(ids, np.int64), pa.array(texts, pa.string()), size, shingle, radius) for size, (ids, texts) in sorted(held.value.items()) if ids]
             _built.clear()
-            _built[key] = ix
+            _built[key] = have
         for batch in batches:
             for part in chunks(batch, "text"):
                 w = Words(part.column(1))
-                n = len(w.hash) - window + 1
-                if n <= 0 or not len(ix.finger):
-                    continue
-                sh = gram_hash(w.hash, shingle)
-                inside = w.row[:n] == w.row[window - 1 :]
-                at, win = [], []
-                for lo in range(0, n, 1 << 15):  # the bit matrix stays in cache
-                    hi = min(n, lo + (1 << 15))
-                    a, b = ix.candidates(simhash(sh[lo : hi + ix.per - 1], ix.per))
-                    at.append(a + lo)
-                    win.append(b)
-                a, b = np.concatenate(at), np.concatenate(win)
-                keep = inside[a]
-                a, b = a[keep], b[keep]
-                if not len(a):
-                    continue
-                sim, exact = ix.verify(a, b, w.hash, sh)
-                keep = sim >= similarity
-                a, b, sim, exact = a[keep], b[keep], sim[keep], exact[keep]
-                if not len(a):
-                    continue
-                pair = w.row[a].astype(np.int64) * len(ix.no) + ix.per_item[b]
-                u, inv = np.unique(pair, return_inverse=True)
-
-                def distinct(m, pair=pair, u=u, b=b):
-                    """Distinct windows of the item per pair."""
-                    one = np.unique(np.stack([pair[m], b[m]]), axis=1)[0]
-                    return np.searchsorted(one, u, side="right") - np.searchsorted(one, u, side="left")
-
-                best = np.zeros(len(u))
-                np.maximum.at(best, inv, sim)
-                item = u % len(ix.no)
-                whole = np.zeros(len(u))
-                texts = w.row[a].astype(np.int64) * len(ix.length) + ix.source[b]
-                order = np.argsort(texts, kind="stable")
-                for g in np.split(order, np.flatnonzero(np.diff(texts[order])) + 1):
-                    r = int(w.row[a[g[0]]])
-                    near = ix.passage(int(ix.source[b[g[0]]]), a[g], sh, int(w.first[r]), int(w.first[r] + w.count[r]))
-                    if near >= similarity:
-                        whole[inv[g[0]]] = max(whole[inv[g[0]]], near)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(u // len(ix.no))), *map(pa.array, (ix.no[item], distinct(np.ones(len(b), bool)), distinct(exact), ix.size[item].astype(np.int64), best, whole))],
-                    names=["doc_id", "item_id", "windows", "exact_windows", "item_windows", "similarity", "item_similarity"],
-                )
+                for ix in have:
+                    yield from _look(ix, part, w, shingle, similarity)
 
     return run
+
+
+def _look(ix: Index, part, w: Words, shingle: int, similarity: float):
+    """The rows of a slice of documents for one index."""
+    window = ix.window
+    n = len(w.hash) - window + 1
+    if n <= 0 or not len(ix.finger):
+        return
+    sh = gram_hash(w.hash, shingle)
+    inside = w.row[:n] == w.row[window - 1 :]
+    at, win = [], []
+    for lo in range(0, n, 1 << 15):  # the bit matrix stays in cache
+        hi = min(n, lo + (1 << 15))
+        a, b = ix.candidates(simhash(sh[lo : hi + ix.per - 1], ix.per))
+        at.append(a + lo)
+        win.append(b)
+    a, b = np.concatenate(at), np.concatenate(win)
+    keep = inside[a]
+    a, b = a[keep], b[keep]
+    if not len(a):
+        return
+    sim, exact = ix.verify(a, b, w.hash, sh)
+    keep = sim >= similarity
+    a, b, sim, exact = a[keep], b[keep], sim[keep], exact[keep]
+    if not len(a):
+        return
+    pair = w.row[a].astype(np.int64) * len(ix.no) + ix.item(b)
+    u, inv = np.unique(pair, return_inverse=True)
+
+    def distinct(m):
+        """Distinct windows of the item per pair."""
+        one = np.unique(np.stack([pair[m], b[m]]), axis=1)[0]
+        return np.searchsorted(one, u, side="right") - np.searchsorted(one, u, side="left")
+
+    best, whole = np.zeros(len(u)), np.zeros(len(u))
+    np.maximum.at(best, inv, sim)
+    item = u % len(ix.no)
+    source = ix.source[ix.start[b]].astype(np.int64)
+    texts = w.row[a].astype(np.int64) * len(ix.length) + source
+    order = np.argsort(texts, kind="stable")
+    for g in np.split(order, np.flatnonzero(np.diff(texts[order])) + 1):
+        r = int(w.row[a[g[0]]])
+        near = ix.passage(int(source[g[0]]), a[g], sh, int(w.first[r]), int(w.first[r] + w.count[r]))
+        if near >= similarity:
+            whole[inv[g[0]]] = max(whole[inv[g[0]]], near)
+    size = np.full(len(u), window, np.int64)
+    yield pa.RecordBatch.from_arrays(
+        [part.column(0).take(pa.array(u // len(ix.no))), *map(pa.array, (ix.no[item], distinct(np.ones(len(b), bool)), distinct(exact), ix.size[item].astype(np.int64), size, best, whole))],
+        names=["doc_id", "item_id", "windows", "exact_windows", "item_windows", "window_words", "similarity", "item_similarity"],
+    )

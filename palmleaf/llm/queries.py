@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +13,10 @@ from palmleaf.llm.formatting_copies import collapse, runs_of_copies
 from palmleaf.llm.groups import assign_splits, tie_by_headword
 from palmleaf.llm.leaks import find_leaks
 from palmleaf.llm.mixing import mix, quotas
-from palmleaf.llm.pair_defects import flag_defects, train
+from palmleaf.llm.pair_defects import LABELS, flag_defects, load, save, train
 from palmleaf.llm.pieces import cut_oversized
 from palmleaf.llm.visual import add_canonical, same_look_pairs
-from palmleaf.runtime import materialize, read_table
+from palmleaf.runtime import materialize, read_table, shared_dir
 
 TEXTS, OBJECTS = ["instruction", "response"], ["meta"]
 
@@ -52,13 +53,27 @@ def _whole():
     return Window.partitionBy(F.lit(1))  # one row per split
 
 
+_models: dict[tuple[str, str], str] = {}  # of this session: where the model of a table was written
+
+
 def p4_found(spark, d):
     t = read_table(spark, d, "train")
-    return flag_defects(t, train(t)).select("record_id", "defect")
+    model = train(t)
+    path = f"{shared_dir(spark)}/palmleaf-model-{uuid.uuid4().hex}"
+    save(spark, model, path)
+    _models[spark.sparkContext.applicationId, d] = path
+    return flag_defects(t, model).select("record_id", "defect")
 
 
 def p4_counts(spark, d):
-    return p4_found(spark, d).groupBy("defect").agg(F.count(F.lit(1)).alias("records"))
+    """Records by their first defect and by all that they have, with the model that p4_found wrote for these records, if
+    it did, and how often a response seems to be another question's (no defect of a response alone)."""
+    t = read_table(spark, d, "train")
+    path = _models.get((spark.sparkContext.applicationId, d))
+    found = flag_defects(t, load(spark, path) if path else train(t), labels=LABELS)
+    first = F.when(F.size(F.array_except("defects", F.array(F.lit("swapped")))) > 0, F.col("defect"))
+    each = found.select(first.alias("first"), F.explode("defects").alias("defect"))
+    return each.groupBy("defect").agg(F.count_if(F.col("first") == F.col("defect")).alias("first_records"), F.count(F.lit(1)).alias("records"))
 
 
 def _evals(spark, d):
@@ -99,14 +114,22 @@ def p6_canonical(spark, d):
 
 
 def p7_found(spark, d):
-    return find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items")).filter("exact_windows > 0").select("doc_id", "item_id")
+    """Ten words and more in a row: items of fewer words are whole windows of their own and are no case here."""
+    found = find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+    return found.filter("exact_windows > 0 AND window_words = 10").select("doc_id", "item_id")
 
 
 def p7_report(spark, d):
-    """Each leaked item: the documents that hold ten words or more of it, and the most one holds: the share of the item's
-    windows, or the similarity of a passage of the item's size in which words are changed, where that is more."""
+    """Each leaked item: the documents that hold ten words or more of it in a row, and the most of its windows that one holds."""
+    found = find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items")).filter("exact_windows > 0 AND window_words = 10")
+    return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max(F.col("exact_windows") / F.col("item_windows")).alias("largest_part"))
+
+
+def p7_near(spark, d):
+    """Documents that hold a passage of an item's size like the whole item (weighted similarity of shingles 0.8 or more),
+    though not all of it word for word."""
     found = find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
-    return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max(F.greatest(F.col("windows") / F.col("item_windows"), F.col("item_similarity"))).alias("largest_part"))
+    return found.filter("item_similarity > 0 AND exact_windows < item_windows").select("doc_id", "item_id", "item_similarity")
 
 
 def p8_mixture(spark, d):
@@ -150,7 +173,7 @@ def p9_pieces(spark, d):
     return cut_oversized(read_table(spark, d, "documents"), read_table(spark, d, "piece_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_splits, p3_shares, p4_found, p4_counts, p5_found, p5_report, p5_coverage, p6_found, p6_canonical, p7_found, p7_report, p8_mixture, p8_shares, p8_checks, p9_pieces, p9_checks)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_splits, p3_shares, p4_found, p4_counts, p5_found, p5_report, p5_coverage, p6_found, p6_canonical, p7_found, p7_report, p7_near, p8_mixture, p8_shares, p8_checks, p9_pieces, p9_checks)}
 
 _LETTERS = r"coalesce(lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')), '')"
 _META = "CASE WHEN meta IS NULL THEN NULL ELSE list_transform(list_sort(json_keys(meta)), lambda k: k || '=' || CAST(json_extract(meta, '$.\"' || k || '\"') AS VARCHAR)) END"
@@ -198,6 +221,13 @@ dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT
 ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM i))
 SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
 """
+_REPORT7 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_WORDS} AS w FROM eval_items),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS k FROM d)),
+ig AS (SELECT item_id, k, len(w) - 9 AS n, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM i)),
+p AS (SELECT item_id, doc_id, count(*) / max(n)::DOUBLE AS part FROM dg JOIN ig USING (g) GROUP BY item_id, doc_id)
+SELECT item_id, count(*) AS documents, max(part) AS largest_part FROM p GROUP BY item_id
+"""
 ORACLES = {
     "p2_found": _COPIES + "SELECT first_id, record_id FROM f WHERE record_id <> first_id",
     "p2_collapsed": _COPIES + "SELECT first_id AS record_id, count(*) AS copies FROM f GROUP BY first_id",
@@ -205,6 +235,7 @@ ORACLES = {
     "p5_found": _NEAR5 + "SELECT train_id, eval_id FROM p",
     "p5_report": _NEAR5 + "SELECT split, source, train_source, count(*) AS pairs, count(DISTINCT eval_id) AS eval_records, count(DISTINCT train_id) AS train_records, CAST(sum(di + dr) AS BIGINT) AS edits, CAST(sum(ni + nr) AS BIGINT) AS words FROM p GROUP BY ALL",
     "p7_found": _FOUND7,
+    "p7_report": _REPORT7,
     "p8_checks": "SELECT source, true AS within_cap, true AS even, true AS share_met, true AS numbered FROM source_targets",
     "p9_checks": "SELECT profile, true AS rebuilt, true AS within_limit, true AS within_overlap, true AS in_order FROM piece_limits",
 }

@@ -11,7 +11,8 @@ from palmleaf.llm import pair_defects as P
 from palmleaf.llm.cross_split import common, edits, find_overlaps, overlap_classes, stride
 from palmleaf.llm.formatting_copies import collapse, runs_of_copies
 from palmleaf.llm.groups import assign_splits, headwords, spanning_forest, tie_by_headword
-from palmleaf.llm.leaks import bounds, find_leaks
+from palmleaf.llm.codepoints import Words, gram_hash
+from palmleaf.llm.leaks import Index, bounds, find_leaks, weights
 from palmleaf.llm.mixing import Tree, mix, permuted, quotas
 from palmleaf.llm.pieces import cut_oversized
 from palmleaf.llm.tokens import Counter, count_tokens
@@ -104,16 +105,62 @@ def test_ties_and_splits(spark):
 GOOD = [(f"Tulu word for w{k} x{k}.", "ಕಿಮ್ಮ ಗೂಡು" if k % 2 else f"ಮನೆ{'ಕಗಜಡತಪ'[k % 6]}, ಇಲ್ಲ್") for k in range(150)] + [(f"ನೀರ್ ಏರ್ ಕೊರ್ಪೆರ್ {'ಕಗಜಡತಪ'[k % 6]}?", f"ಅವು {'ಕಗಜಡತಪ'[k % 6]}ನ ಮನೆ ಉಂಡು. ಯಾನ್ ಬರ್ಪೆ ಕಲ್ಪುವೆ, ಪೋಪೆ ಕೆಲಸ ಮಲ್ಪುವೆ.") for k in range(150)]
 
 
-def test_defects_on_held_out_synthetic_pairs():
+UNSEEN = (
+    "This is a task I am afraid I can not carry out.", "Apologies, that lies outside of my competence.", "Translating that is not something I'm capable of.", "My training does not let me respond to this.", "I would like to help, but I have no knowledge of this term.",
+    "No can do, sorry.", "Regrettably, your query cannot be answered by me.", "I'm unsure how to translate this, so I won't.", "Sorry, not able to do that one.", "We regret to inform you that this cannot be provided.",
+)
+
+
+def test_defects_on_rows_and_phrases_not_seen():
     rng = random.Random(1)
     rows = list(GOOD)
     rng.shuffle(rows)
-    m = P.fit(sorted(rows[:220]), epochs=15)
-    ins, res, y = P.synthesize(sorted(rows[220:]), seed=99)
-    p = P.scores(m, pa.array(ins, pa.string()), pa.array(res, pa.string())) >= m.thresholds
+    m = P.fit(sorted(rows[:220]))
+    assert min(m.report[x] for x in P.REPORTED) > 0.9 and set(m.report) == set(P.LABELS)  # on phrases of their own
+    ins, res, y, _ = P.synthesize(sorted(rows[220:]), seed=99)
+    own = [k for k, label in enumerate(P.LABELS) if label in P.REPORTED]
+    p = (P.scores(m, pa.array(ins, pa.string()), pa.array(res, pa.string())) >= m.thresholds)[:, own]
     first = np.where(p.any(axis=1), p.argmax(axis=1), -1)
-    want = np.where(y.any(axis=1), y.argmax(axis=1), -1)
+    want = np.where(y[:, own].any(axis=1), y[:, own].argmax(axis=1), -1)
     assert (first == want).mean() > 0.95
+    asked = pa.array(["Tulu word for water."] * len(UNSEEN))
+    refused = P.scores(m, asked, pa.array(UNSEEN))[:, P.LABELS.index("refusal")] >= m.thresholds[P.LABELS.index("refusal")]
+    assert refused.mean() >= 0.9  # written by hand, none from the parts that training puts together
+
+
+def test_copied_spans_against_plain_reading():
+    rng = random.Random(8)
+
+    def plain(r, i):
+        def inside(x):
+            for size in range(1, len(x) + 1):
+                if len(x) % size == 0 and x == x[:size] * (len(x) // size):
+                    return any(i[k : k + size] == x[:size] for k in range(len(i) - size + 1))
+            return False
+
+        k = 0
+        while k < min(2, len(r)) and r[k] not in i:
+            k += 1
+        return inside(r), k > 0 and inside(r[k:]), len(r) > len(i) + 2 and bool(i) and r[: len(i)] == i
+
+    pairs = [(["a"], [])]
+    for _ in range(400):
+        i = [rng.choice("abcd") for _ in range(rng.randrange(0, 9))]
+        a = rng.randrange(len(i) + 1)
+        r = [*rng.choices("xyz", k=rng.randrange(3)), *(i[a : a + rng.randrange(1, 6)] * rng.randrange(1, 4))] if rng.random() < 0.8 else [*i, "q", "r", "s"]
+        pairs.append((i, r))
+    words_ = [P.Words(pa.array([" ".join(x) for x in col])) for col in zip(*pairs)]
+    shared = np.array([w in i for i, r in pairs for w in r], bool)
+    got = P._spans(words_[1], words_[0], shared, np.arange(len(pairs)))
+    assert [tuple(bool(g[k]) for g in got) for k in range(len(pairs))] == [plain(r, i) for i, r in pairs]
+
+
+def test_model_is_written_and_read(spark, tmp_path):
+    m = P.fit(sorted(GOOD)[:60], epochs=3)
+    P.save(spark, m, f"{tmp_path}/model")
+    back = P.load(spark, f"{tmp_path}/model")
+    ins, res = (pa.array(x) for x in zip(*GOOD[:50]))
+    assert np.allclose(P.scores(m, ins, res), P.scores(back, ins, res)) and np.allclose(m.thresholds, back.thresholds) and back.script == m.script
 
 
 def test_flagging(spark):
@@ -255,8 +302,8 @@ def test_leaks_against_brute_force(spark):
     want = {(d, i) for d, t, _ in docs if d is not None for w in [words(t)] for k in range(len(w) - 9) for i in index.get(tuple(w[k : k + 10]), ())}
     D = spark.createDataFrame(docs, "doc_id BIGINT, text STRING, item_id STRING")
     I = spark.createDataFrame(items, "item_id BIGINT, text STRING, doc_id STRING")  # noqa: E741
-    for size in (64 << 20, 1000):  # one block of items, and several
-        got = find_leaks(D, I, index_bytes=size).filter("exact_windows > 0").collect()
+    for size in (64 << 20, 20_000):  # one block of items, and several
+        got = find_leaks(D, I, index_bytes=size).filter("exact_windows > 0 AND window_words = 10").collect()
         assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
     assert find_leaks(D.limit(0), I).count() == 0 and find_leaks(D, I.limit(0)).count() == 0
     assert [sum(b for _, b in bounds(r)) for r in (0, 1, 2, 3)] == [64] * 4
@@ -278,6 +325,52 @@ def test_leaked_items_with_changed_words(spark):
     assert got[2]["windows"] == 41 and near[2] > 41 / 51  # a changed word costs ten windows of 51
 
 
+def test_short_items_are_found_whole(spark):
+    items = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e f g"), (3, "a b c d"), (4, "q r s t u v w x y")], "item_id BIGINT, text STRING")
+    docs = spark.createDataFrame([(1, "x a b c d e y"), (2, "A, b; c d e f g"), (3, "a b c d f"), (4, "q r s t u v w x z")], "doc_id BIGINT, text STRING")
+    got = {(r["doc_id"], r["item_id"]): r for r in find_leaks(docs, items).filter("exact_windows > 0").collect()}
+    assert set(got) == {(1, 1), (2, 1), (2, 2)} and all(r["item_similarity"] == 1 and r["window_words"] < 10 for r in got.values())
+
+
+def test_recall_of_passages_with_edits(spark):
+    """Passages of items with planted edits, against the similarity of every item-sized window of every document."""
+    rng = random.Random(12)
+    items = {k: [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(25, 160))] for k in range(25)}
+    docs = {}
+    for k in range(150):
+        w = list(items[k % 25])
+        for _ in range(rng.randrange(0, 5)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randrange(2)] = [f"n{rng.randrange(999)}"] * rng.randrange(2)
+        around = [f"f{rng.randrange(999)}" for _ in range(40)]
+        docs[k] = around[:20] + w + around[20:]
+
+    def grams(w):
+        return {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+
+    index = Index(np.array([0]), pa.array(["a b c d e f g h i j"]), 10, 5, 2)
+    assert index.size.tolist() == [1]
+    weight = {}
+
+    def similarity(a, b):
+        for g in (a | b) - set(weight):
+            weight[g] = float(weights(gram_hash(Words(pa.array([" ".join(g)])).hash, 5))[0])
+        both = sum(weight[g] for g in a & b)
+        return both / (sum(weight[g] for g in a) + sum(weight[g] for g in b) - both)
+
+    want = {}
+    for k, w in docs.items():
+        own, n = grams(items[k % 25]), len(items[k % 25])
+        best = max(similarity(own, grams(w[j : j + n])) for j in range(max(0, 14), min(len(w) - n, 27) + 1))
+        if best >= 0.8:
+            want[k, k % 25] = best
+    D = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id BIGINT, text STRING")
+    I = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id BIGINT, text STRING")  # noqa: E741
+    got = {(r["doc_id"], r["item_id"]): r["item_similarity"] for r in find_leaks(D, I).filter("item_similarity > 0").collect()}
+    assert len(want) > 40 and set(want) <= set(got)  # recall 1
+    assert all(got[p] >= want[p] - 1e-9 for p in want)
+
+
 def test_mixing(spark):
     rng = random.Random(4)
     docs = [(k, " ".join(["water"] * rng.randrange(0, 60)), rng.choice(["a", "a", "a", "b", "c", None])) for k in range(600)] + [(900, None, "a")]
