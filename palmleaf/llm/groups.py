@@ -20,13 +20,14 @@ def question_words(c: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(c.cast("string"), r"[^\p{L}\p{M}\p{N}]+", " ")))
 
 
-def named_in(words: Column) -> Column:
-    """The distinct headwords that question_words() name, each without spaces; none: empty."""
+def named_in(words: Column, ask_two=ASK_TWO, ask_one=ASK_ONE) -> Column:
+    """The distinct headwords that question_words() name, each without spaces; none: empty. The questions are patterns
+    with one or two groups; the first that matches counts."""
     none = F.array().cast("array<string>")
     found = none
-    for p in reversed(ASK_ONE):
+    for p in reversed(ask_one):
         found = F.when(words.rlike(p), F.array(F.regexp_extract(words, p, 1))).otherwise(found)
-    for p in reversed(ASK_TWO):
+    for p in reversed(ask_two):
         found = F.when(words.rlike(p), F.array(F.regexp_extract(words, p, 1), F.regexp_extract(words, p, 2))).otherwise(found)
     bare = F.transform(found, lambda w: F.replace(w, F.lit(" "), F.lit("")))
     return F.coalesce(F.array_distinct(F.filter(bare, lambda w: w != "")), none)
@@ -43,6 +44,7 @@ def spanning_forest(edges: DataFrame, max_rounds: int = 64) -> tuple[DataFrame,
     edges join the persisted forest, and the components are contracted by pointer jumping; at least half of them vanish
     per round. root is the smallest node of its component. Every round ends in written tables; only counts reach the
     driver. Loops, repeated edges and nulls are allowed (null ends are dropped); nodes without an edge have no label.
+    max_rounds halvings are enough for 2^max_rounds nodes; edges left after them are an error.
     """
     pair = edges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), F.col("u").isNull().alias("n1"), F.col("v").isNull().alias("n2"))
     pair = pair.filter(~F.col("n1") & ~F.col("n2")).select("a", "b").distinct()
@@ -81,6 +83,8 @@ def spanning_forest(edges: DataFrame, max_rounds: int = 64) -> tuple[DataFrame,
         live_next = materialize(kept, "edges")
         drop_materialized(live)
         live = live_next
+    if not live.isEmpty():
+        raise RuntimeError(f"components are not contracted after {max_rounds} rounds")
     least = labels.groupBy("root").agg(F.min("node").alias("least"))
     out = labels.join(least, "root").select("node", F.col("least").alias("root"))
     if forest is None:
@@ -88,15 +92,21 @@ def spanning_forest(edges: DataFrame, max_rounds: int = 64) -> tuple[DataFrame,
     return materialize(out, "labels"), materialize(forest.distinct(), "forest")
 
 
-def tie_by_headword(df: DataFrame, key: str = "record_id", instruction: str = "instruction") -> DataFrame:
-    """(key, first_id): every record that names a headword, with the smallest key of all records tied to it.
+def tie_by_headword(df: DataFrame, key: str = "record_id", instruction: str = "instruction", ask_two=ASK_TWO, ask_one=ASK_ONE) -> DataFrame:
+    """(key, first_id): every record that names a headword, with the smallest key of all records tied to it."""
+    return headword_forest(df, key, instruction, ask_two, ask_one)[0]
 
-    Nodes are headwords (each by its smallest record), edges join the headwords that one record names; a headword of a
-    third of all rows is one node, counted before any shuffle of rows, and its rows get their root by broadcast of the
-    few hot headwords. Rows with a null key, and rows whose instruction is null or names none, are not returned.
+
+def headword_forest(df: DataFrame, key: str = "record_id", instruction: str = "instruction", ask_two=ASK_TWO, ask_one=ASK_ONE) -> tuple[DataFrame, DataFrame]:
+    """(ties, forest): ties(key, first_id) are the records that name a headword, with the smallest key of all records tied
+    to it; forest(u, v) is the written spanning forest of the headwords, each by its smallest record.
+
+    Edges join the headwords that one record names; a headword of a third of all rows is one node, counted before any
+    shuffle of rows, and its rows get their root by broadcast of the few hot headwords. Rows with a null key, and rows
+    whose instruction is null or names none, are not returned.
     """
     asked = df.select(F.col(key).cast("long").alias("k"), question_words(F.col(instruction)).alias("w")).filter(F.col("k").isNotNull() & F.col("w").rlike("[a-z]"))
-    named = asked.select("k", named_in(F.col("w")).alias("hw")).filter(F.size("hw") > 0)
+    named = asked.select("k", named_in(F.col("w"), ask_two, ask_one).alias("hw")).filter(F.size("hw") > 0)
     named = materialize(named, "named")
     heads = materialize(named.select("k", F.explode("hw").alias("h")).groupBy("h").agg(F.min("k").alias("node"), F.count(F.lit(1)).alias("n")), "heads")
     # A record that names several headwords chains them; equal pairs are merged before the join.
@@ -104,10 +114,10 @@ def tie_by_headword(df: DataFrame, key: str = "record_id", instruction: str = "i
     chain = chain.select(F.least("p.x", "p.y").alias("x"), F.greatest("p.x", "p.y").alias("y")).distinct()
     of = heads.select("h", "node")
     edges = chain.join(of.select(F.col("h").alias("x"), F.col("node").alias("u")), "x").join(of.select(F.col("h").alias("y"), F.col("node").alias("v")), "y").select("u", "v")
-    labels, _ = spanning_forest(edges)
+    labels, forest = spanning_forest(edges)
     roots = heads.join(labels.withColumnRenamed("root", "r"), "node", "left").select("h", F.coalesce("r", "node").alias("first_id"))
     one = named.select("k", F.col("hw")[0].alias("h"))
-    return hot_join(one, roots, "h", heads.select("h", "n")).select(F.col("k").alias(key), "first_id")
+    return hot_join(one, roots, "h", heads.select("h", "n")).select(F.col("k").alias(key), "first_id"), forest
 
 
 def assign_splits(groups: DataFrame, shares: list[tuple[str, float]], group: str, key: str, seed: int = 11) -> DataFrame:

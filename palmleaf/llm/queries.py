@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from palmleaf.llm.cross_split import find_overlaps
 from palmleaf.llm.formatting_copies import collapse, runs_of_copies
-from palmleaf.llm.groups import assign_splits, tie_by_headword
+from palmleaf.llm.groups import assign_splits, headword_forest, tie_by_headword
 from palmleaf.llm.leaks import find_leaks
 from palmleaf.llm.mixing import mix, quotas
 from palmleaf.llm.pair_defects import LABELS, flag_defects, load, save, train
 from palmleaf.llm.pieces import cut_oversized
-from palmleaf.llm.visual import add_canonical, same_look_pairs
+from palmleaf.llm.visual import HYPHENS, LATIN_LOOKALIKES, TELUGU_LIKE_KANNADA, add_canonical, look_classes, same_look_pairs
 from palmleaf.runtime import materialize, read_table, shared_dir
 
 TEXTS, OBJECTS = ["instruction", "response"], ["meta"]
@@ -38,8 +38,33 @@ def p3_splits(spark, d):
     records = read_table(spark, d, "train").select("record_id")
     tied = tie_by_headword(read_table(spark, d, "train"))
     groups = records.join(tied, "record_id", "left").select("record_id", F.coalesce("first_id", "record_id").alias("group_id"))
-    shares = [(r[0], r[1]) for r in read_table(spark, d, "split_targets").select("split_name", "target_share").limit(1000).collect()]
-    return assign_splits(materialize(groups, "groups"), shares, "group_id", "record_id")
+    return assign_splits(materialize(groups, "groups"), _shares(spark, d), "group_id", "record_id")
+
+
+def _shares(spark, d, most=1000):
+    rows = read_table(spark, d, "split_targets").select("split_name", "target_share").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} splits")
+    return [(r[0], r[1]) for r in rows]
+
+
+def p3_forest(spark, d):
+    """The headwords that records tie together, as the forest's edges between their smallest records, counted: joined by
+    the tree edges alone, as many components come out as by all edges."""
+    ties, forest = headword_forest(read_table(spark, d, "train"))
+    nodes = forest.select(F.col("u").alias("n")).union(forest.select("v")).distinct()
+    groups = nodes.join(ties.select(F.col("record_id").alias("n"), "first_id"), "n").agg(F.count(F.lit(1)).alias("nodes"), F.countDistinct("first_id").alias("trees"))
+    return groups.select((F.col("nodes") - F.col("trees") == F.lit(forest.count())).alias("a_forest"))
+
+
+def p3_checks(spark, d):
+    """What must hold of the splits: every record once, no group in two splits, shares within half a percent."""
+    s = materialize(p3_splits(spark, d), "splits")
+    apart = s.groupBy("group_id").agg(F.countDistinct("split").alias("n")).filter("n > 1").isEmpty()
+    n, shares = s.count(), dict(_shares(spark, d))
+    got = {r["split"]: r["n"] / max(1, n) for r in s.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per split
+    met = all(abs(got.get(k, 0.0) - v) < 0.005 for k, v in shares.items())
+    return s.agg(F.count(F.lit(1)).alias("records"), F.countDistinct("record_id").alias("distinct_records"), F.countDistinct("group_id").alias("groups")).withColumns({"together": F.lit(apart), "shares_met": F.lit(met)})
 
 
 def p3_shares(spark, d):
@@ -108,6 +133,11 @@ def p6_found(spark, d):
     return same_look_pairs(read_table(spark, d, "clean_dictionary"), "entry_id", ["english", "tulu"])
 
 
+def p6_classes(spark, d):
+    """Every row that looks like one stored differently, with its class: one row each, however large the class."""
+    return look_classes(read_table(spark, d, "clean_dictionary"), "entry_id", ["english", "tulu"]).select("entry_id", "class_id", "forms", "rows")
+
+
 def p6_canonical(spark, d):
     t = read_table(spark, d, "clean_dictionary").select("entry_id", "english", "tulu")
     return add_canonical(t, {"english": "english_form", "tulu": "tulu_form"}).select("entry_id", "english_form", "tulu_form")
@@ -173,7 +203,7 @@ def p9_pieces(spark, d):
     return cut_oversized(read_table(spark, d, "documents"), read_table(spark, d, "piece_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_splits, p3_shares, p4_found, p4_counts, p5_found, p5_report, p5_coverage, p6_found, p6_canonical, p7_found, p7_report, p7_near, p8_mixture, p8_shares, p8_checks, p9_pieces, p9_checks)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_splits, p3_shares, p3_forest, p3_checks, p4_found, p4_counts, p5_found, p5_report, p5_coverage, p6_found, p6_classes, p6_canonical, p7_found, p7_report, p7_near, p8_mixture, p8_shares, p8_checks, p9_pieces, p9_checks)}
 
 _LETTERS = r"coalesce(lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')), '')"
 _META = "CASE WHEN meta IS NULL THEN NULL ELSE list_transform(list_sort(json_keys(meta)), lambda k: k || '=' || CAST(json_extract(meta, '$.\"' || k || '\"') AS VARCHAR)) END"
@@ -221,6 +251,24 @@ dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT
 ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM i))
 SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
 """
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_FROM = _WIDE + "".join(LATIN_LOOKALIKES) + TELUGU_LIKE_KANNADA + HYPHENS
+_TO = "".join(chr(ord(c) - 0xFEE0) for c in _WIDE) + "".join(LATIN_LOOKALIKES.values()) + "".join(chr(ord(c) + 0x80) for c in TELUGU_LIKE_KANNADA) + "-" * len(HYPHENS)
+
+
+def _form(x: str) -> str:
+    """The consistent form in SQL: single characters translated, undrawn ones dropped, a joiner kept between a virama and
+    a letter or before a virama, the zero after a syllable read as the sign it is drawn like, then composed."""
+    x = f"regexp_replace({x}, '[\\x{{AD}}\\x{{200B}}\\x{{200E}}\\x{{200F}}\\x{{202A}}-\\x{{202E}}\\x{{2060}}-\\x{{206F}}\\x{{FEFF}}\\x{{34F}}\\x{{61C}}\\x{{FE00}}-\\x{{FE0F}}]', '', 'g')"
+    x = f"translate(regexp_replace({x}, '\\p{{Zs}}', ' ', 'g'), '{_FROM.replace(chr(39), chr(39) * 2)}', '{_TO.replace(chr(39), chr(39) * 2)}')"
+    for joiner, mark in (("\\x{200C}", "\ue001"), ("\\x{200D}", "\ue002")):
+        x = f"regexp_replace({x}, '([\\x{{CCD}}\\x{{C4D}}\\x{{94D}}]){joiner}([A-Za-z\\x{{AA}}-\\x{{1FFFF}}])', '\\1{mark}\\2', 'g')"
+    x = f"regexp_replace({x}, '(.)\\x{{200D}}([\\x{{CCD}}\\x{{C4D}}\\x{{94D}}])', '\\1\ue002\\2', 'g')"
+    x = f"regexp_replace(translate(regexp_replace({x}, '[\\x{{200C}}\\x{{200D}}]', '', 'g'), '\ue001\ue002', '\u200c\u200d'), '([ಅ-ಹಾ-ೌೕೖ])೦', '\\1ಂ', 'g')"
+    return f"nfc_normalize({x})"
+
+
+_LOOKS = f"WITH x AS (SELECT entry_id, english, tulu, {_form('english')} AS e, {_form('tulu')} AS t FROM clean_dictionary)"
 _REPORT7 = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_WORDS} AS w FROM eval_items),
 dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS k FROM d)),
@@ -232,8 +280,13 @@ ORACLES = {
     "p2_found": _COPIES + "SELECT first_id, record_id FROM f WHERE record_id <> first_id",
     "p2_collapsed": _COPIES + "SELECT first_id AS record_id, count(*) AS copies FROM f GROUP BY first_id",
     "p3_found": _FOUND3,
+    "p3_forest": "SELECT true AS a_forest",
+    "p3_checks": _FOUND3[: _FOUND3.rindex("SELECT DISTINCT")] + "SELECT (SELECT count(*) FROM train) AS records, (SELECT count(*) FROM train) AS distinct_records, (SELECT count(*) FROM train) - count(*) AS groups, true AS together, true AS shares_met FROM (SELECT DISTINCT first_id, record_id FROM n JOIN root USING (x) WHERE record_id <> first_id)",
     "p5_found": _NEAR5 + "SELECT train_id, eval_id FROM p",
     "p5_report": _NEAR5 + "SELECT split, source, train_source, count(*) AS pairs, count(DISTINCT eval_id) AS eval_records, count(DISTINCT train_id) AS train_records, CAST(sum(di + dr) AS BIGINT) AS edits, CAST(sum(ni + nr) AS BIGINT) AS words FROM p GROUP BY ALL",
+    "p6_canonical": _LOOKS + " SELECT entry_id, e AS english_form, t AS tulu_form FROM x",
+    "p6_found": _LOOKS + " SELECT a.entry_id AS entry_id_a, b.entry_id AS entry_id_b FROM x a JOIN x b ON a.e = b.e AND a.t = b.t AND a.entry_id < b.entry_id WHERE a.english <> b.english OR a.tulu <> b.tulu",
+    "p6_classes": _LOOKS + ", c AS (SELECT e, t, min(entry_id) AS class_id, count(DISTINCT (english, tulu)) AS forms, count(*) AS rows FROM x WHERE english IS NOT NULL AND tulu IS NOT NULL GROUP BY e, t) SELECT entry_id, class_id, forms, rows FROM x JOIN c USING (e, t) WHERE forms > 1",
     "p7_found": _FOUND7,
     "p7_report": _REPORT7,
     "p8_checks": "SELECT source, true AS within_cap, true AS even, true AS share_met, true AS numbered FROM source_targets",

@@ -13,14 +13,26 @@ from pyspark.sql import types as T
 
 from palmleaf.llm.codepoints import TABLE, chunks, clip, codepoints, to_strings
 
-# Letters of other scripts that are drawn like a Latin letter (Cyrillic, Greek, then others).
-LATIN_LOOKALIKES = {
-    "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "ԝ": "w", "х": "x", "у": "y", "ѵ": "v",
-    "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ԛ": "Q", "Ѕ": "S", "Т": "T", "Ԝ": "W", "Х": "X", "У": "Y", "Ү": "Y", "Ԍ": "G", "Ӏ": "I",
-    "α": "a", "ι": "i", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j",
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
-    "օ": "o", "ɡ": "g", "ɑ": "a", "ⅼ": "l", "ⅰ": "i", "ⅴ": "v", "ⅹ": "x",
+# Letters of other scripts that are drawn like a Latin letter, script by script, each above what it is like
+# (the public confusables data names these pairs). Letters drawn like one in another style or width, and ligatures, follow
+# from their decompositions and are in no list.
+LOOKALIKES = {
+    "cyrillic": ("асԁеһіјӏорԛѕԝхуѵАВСЕНІЈКМОРԚЅТԜХУҮԌӀгѡ",
+                 "acdehijlopqswxyvABCEHIJKMOPQSTWXYYGIrw"),
+    "greek": ("αινορυϲϳγΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ",
+              "aivopucjyABEZHIKMNOPTYXCJ"),
+    "armenian": ("օհցոսզյքԼՍՏՕ",
+                 "ohgnuqjpLUSO"),
+    "coptic": ("ⲟⲣⲥⲭⲁⲓⲩⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲌⲀ",
+               "opcxaiyBHIKMNOPCTYXZA"),
+    "cherokee": ("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏏᏚᏞᏟᏢᏦᏙᏔᏒᏕᏜᏴᏳꮯꮪꮩꮓꮃꮁ",
+                 "DRTiYAJEWMHYGZbSLCPKVWRSBBGcsvzwr"),
+    "lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ",
+             "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "latin": ("ɡɑⅼⅰⅴⅹⅽⅾⅿ",
+              "galivxcdm"),
 }
+LATIN_LOOKALIKES = {a: b for line, to in LOOKALIKES.values() for a, b in zip(line, to, strict=True)}
 # Telugu signs, letters and digits that are drawn like the Kannada one at the same place of its block.
 TELUGU_LIKE_KANNADA = "ంఃఅఆఇఒఓఔజఞణయఱల౦౧౨౯"
 # Hyphens drawn as the ASCII one; characters that are not drawn besides those of category Cf.
@@ -44,7 +56,7 @@ def _one(ch: str) -> str:
     if 0xAC00 <= ord(ch) < 0xD7A4:
         return ch
     kind = unicodedata.decomposition(ch)
-    if kind.startswith(("<wide>", "<narrow>")) or 0xFB00 <= ord(ch) <= 0xFB06:
+    if kind.startswith(("<wide>", "<narrow>", "<font>")) or 0xFB00 <= ord(ch) <= 0xFB06:
         ch = unicodedata.normalize("NFKC", ch)
     out = unicodedata.normalize("NFD", ch)
     return "".join(LATIN_LOOKALIKES.get(c, chr(ord(c) + 0x80) if c in TELUGU_LIKE_KANNADA else c) for c in out)
@@ -100,6 +112,17 @@ def _drop(cps, row, keep):
     return cps[keep], row[keep]
 
 
+def _order(cps, row, ccc_of) -> None:
+    """Canonical order of marks, in place."""
+    while True:
+        ccc = ccc_of[clip(cps)]
+        swap = np.flatnonzero((ccc[:-1] > ccc[1:]) & (ccc[1:] > 0) & (row[:-1] == row[1:]))
+        if not len(swap):
+            return
+        swap = swap[np.append(True, np.diff(swap) > 1)] if len(swap) > 1 else swap
+        cps[swap], cps[swap + 1] = cps[swap + 1].copy(), cps[swap].copy()
+
+
 def canonical(col: pa.Array) -> pa.Array:
     """The form under which texts that look the same are equal. Nulls stay null."""
     cps, offsets = codepoints(col)
@@ -125,25 +148,22 @@ def canonical(col: pa.Array) -> pa.Array:
             inside |= (prev >= lo) & (prev <= hi)
         cps[zero[inside & (row[zero] == row[zero - 1])]] = ANUSVARA
     ccc_of, second_of = combining()
-    # A joiner is drawn only between a virama and a letter after it, or (ZWJ) before a virama.
+    _order(cps, row, ccc_of)
+    # A joiner is drawn only between a virama (and marks) and a letter after it, or (ZWJ) before a virama.
     joiner = (cps == JOINERS[0]) | (cps == JOINERS[1])
     if joiner.any():
-        ccc = ccc_of[clip(cps)]
+        ccc, place = ccc_of[clip(cps)], np.arange(len(cps))
         same_next = np.append(row[1:] == row[:-1], False)
         same_prev = np.append(False, row[1:] == row[:-1])
-        prev_virama = same_prev & np.append(False, ccc[:-1] == 9)
+        starter = np.maximum.accumulate(np.where(ccc == 0, place, -1))
+        virama = np.maximum.accumulate(np.where(ccc == 9, place, -1))
+        prev_virama = same_prev & np.append(False, (virama > starter)[:-1])
         next_virama = same_next & np.append(ccc[1:] == 9, False)
         nxt = np.append(cps[1:], 0)
         letter = np.isin(np.searchsorted([0x41, 0x5B, 0x61, 0x7B, 0xAA], nxt, side="right"), [1, 3, 5]) & same_next
         keep = ~joiner | (prev_virama & letter) | ((cps == JOINERS[1]) & next_virama & same_prev)
         cps, row = _drop(cps, row, keep)
-    while True:  # canonical order of marks
-        ccc = ccc_of[clip(cps)]
-        swap = np.flatnonzero((ccc[:-1] > ccc[1:]) & (ccc[1:] > 0) & (row[:-1] == row[1:]))
-        if not len(swap):
-            break
-        swap = swap[np.append(True, np.diff(swap) > 1)] if len(swap) > 1 else swap
-        cps[swap], cps[swap + 1] = cps[swap + 1].copy(), cps[swap].copy()
+        _order(cps, row, ccc_of)
     keys, values = compositions()
     while len(cps):
         at = clip(cps)
@@ -195,31 +215,50 @@ def add_canonical(df: DataFrame, cols: dict[str, str]) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, sources[0], 1 << 21):
+            parts = [batch]
+            for source in sources:  # bounded in every text
+                parts = (p for whole in parts for p in chunks(whole, source, 1 << 21))
+            for part in parts:
                 extra = [canonical(part.column(i).cast(pa.string())) for i in where]
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=names)
 
     return df.mapInArrow(run, schema)
 
 
+def _looks(df: DataFrame, key: str, cols: list[str]) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """(rows with their stored forms, stored forms of the looks that have several of them, names of forms and looks)."""
+    look = [f"look_{i}" for i in range(len(cols))]
+    form = [f"form_{i}" for i in range(len(cols))]
+    base = df.select(F.col(key).cast("long").alias("k"), *(F.col(c).cast("string").alias(f) for c, f in zip(cols, form)))
+    base = base.filter(F.col("k").isNotNull()).na.drop(subset=form)
+    forms = add_canonical(base.groupBy(*form).agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first")), dict(zip(form, look)))
+    several = forms.groupBy(*look).agg(F.count(F.lit(1)).alias("forms"), F.sum("n").alias("rows"), F.min("first").alias("class_id")).filter("forms > 1")
+    return base, forms.join(several, look), form, look
+
+
+def look_classes(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """(key, class_id, form_id, forms, rows): every row that looks like a row stored differently, once.
+
+    class_id is the smallest key of all rows of its look, form_id that of the rows stored as it is; forms and rows count
+    those of the class. One row a row, however large a class is; rows of the same stored form are never paired.
+    """
+    base, forms, form, look = _looks(df, key, cols)
+    rows = base.join(forms.select(*form, "class_id", F.col("first").alias("form_id"), "forms", "rows"), form)
+    return rows.select(F.col("k").alias(key), "class_id", "form_id", "forms", "rows")
+
+
 def same_look_pairs(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """(key_a, key_b), key_a < key_b: rows whose cols all look the same while at least one is stored differently.
 
     Rows with a null in key or cols are in no pair. Rows stored the same are never compared with one another: pairs
     are sought between the distinct stored forms of a look, and only then turned into rows, so a third of all rows in
-    one stored form costs nothing beyond its true pairs.
+    one stored form costs nothing beyond its true pairs. look_classes() tells the same in one row for each row.
     """
-    look = [f"look_{i}" for i in range(len(cols))]
-    form = [f"form_{i}" for i in range(len(cols))]
-    base = df.select(F.col(key).cast("long").alias("k"), *(F.col(c).cast("string").alias(f) for c, f in zip(cols, form)))
-    base = base.filter(F.col("k").isNotNull()).na.drop(subset=form)
-    forms = add_canonical(base.select(*form).distinct(), dict(zip(form, look)))
-    several = forms.groupBy(*look).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    forms = forms.join(several, look)
-    a = forms.select(*look, F.struct(*form).alias("a"))
-    b = forms.select(*look, F.struct(*form).alias("b"))
-    pairs = a.join(b, look).filter(F.col("a") < F.col("b")).select("a", "b")
-    left = base.select(F.struct(*form).alias("a"), F.col("k").alias("ka"))
-    right = base.select(F.struct(*form).alias("b"), F.col("k").alias("kb"))
-    ids = pairs.join(left, "a").join(right, "b")
+    base, forms, form, look = _looks(df, key, cols)
+    a = forms.select("class_id", F.col("first").alias("form_a"))
+    b = forms.select("class_id", F.col("first").alias("form_b"))
+    pairs = a.join(b, "class_id").filter(F.col("form_a") < F.col("form_b")).select("form_a", "form_b")
+    rows = base.join(forms.select(*form, "first"), form).select("k", "first")
+    left, right = (rows.select(F.col("first").alias(f"form_{x}"), F.col("k").alias(f"k{x}")) for x in "ab")
+    ids = pairs.join(left, "form_a").join(right, "form_b")
     return ids.select(F.least("ka", "kb").alias(f"{key}_a"), F.greatest("ka", "kb").alias(f"{key}_b"))

@@ -16,7 +16,7 @@ from palmleaf.llm.leaks import Index, bounds, find_leaks, weights
 from palmleaf.llm.mixing import Tree, mix, permuted, quotas
 from palmleaf.llm.pieces import cut_oversized
 from palmleaf.llm.tokens import Counter, count_tokens
-from palmleaf.llm.visual import add_canonical, same_look_pairs
+from palmleaf.llm.visual import add_canonical, canonical, look_classes, same_look_pairs
 
 RECORD = "record_id BIGINT, instruction STRING, response STRING, meta STRING, first_id STRING, k STRING"
 
@@ -266,6 +266,19 @@ def test_covered_words(spark):
     assert got == {(0, 100): 20, (1, 101): 0, (2, 102): 6, (3, 103): 32, (4, 104): 24, (5, 105): 20}
 
 
+def test_look_alikes_of_many_scripts():
+    alike = {"ᎪꮯꓮՏհցⲟ𝐚ｆﬁ": "AcAShgoaffi", "Ёлка": "Ëлкa", "а\u0301": "á", "ಂ౦": "ಂ೦", "ಕ౦": "ಕಂ", "ᎪᏟᎬ": "ACE", "ꓬꓳꓴ": "YOU", "a\u200d b\u2009c": "a b c"}
+    assert canonical(pa.array(list(alike))).to_pylist() == list(alike.values())
+    assert canonical(pa.array(list(alike.values()))).to_pylist() == list(alike.values())  # a form is its own form
+
+
+def test_look_classes(spark, rows):
+    df = spark.createDataFrame([(7, "cap"), (2, "сap"), (3, "cap"), (9, "ｃap"), (4, "map"), (5, None), (None, "cap"), (6, "map")], "id BIGINT, e STRING")
+    assert rows(look_classes(df, "id", ["e"])) == [(2, 2, 2, 3, 4), (3, 2, 3, 3, 4), (7, 2, 3, 3, 4), (9, 2, 9, 3, 4)]
+    assert look_classes(df.limit(0), "id", ["e"]).count() == 0
+    assert same_look_pairs(df, "id", ["e"]).count() == 5
+
+
 def test_same_look_pairs(spark, rows):
     df = spark.createDataFrame([(1, "cap", "ಕ", "z"), (2, "сap", "ಕ", "z"), (3, "cap", "ಕ", "z"), (4, "cap", None, "z"), (5, "Cap", "ಕ", "z"), (None, "сap", "ಕ", "z")], "id BIGINT, e STRING, t STRING, look_0 STRING")
     assert rows(same_look_pairs(df, "id", ["e", "t"])) == [(1, 2), (2, 3)]
