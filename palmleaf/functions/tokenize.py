@@ -16,6 +16,15 @@ DIRECTORY = "/opt/tokenizers"
 FILES = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model")
 
 
+@functools.cache
+def _tiktoken(path: str):
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @functools.cache
 def encoder(path: str):
     """texts -> lists of ids, by the kind of file."""
@@ -26,11 +35,7 @@ def encoder(path: str):
         t.encode_special_tokens = True
         return lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
     if path.endswith(".tiktoken"):
-        import tiktoken
-
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        e = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        e = _tiktoken(path)
         return lambda texts: [e.encode_ordinary(x) for x in texts]
     import sentencepiece
 
@@ -65,6 +70,34 @@ def token_count(path: str):
     return count
 
 
+@functools.cache
+def decoder(path: str):
+    """Lists of ids -> texts, by the kind of file."""
+    if path.endswith(".json"):
+        from tokenizers import Tokenizer
+
+        t = Tokenizer.from_file(path)
+        return lambda ids: t.decode_batch(ids, skip_special_tokens=False)
+    if path.endswith(".tiktoken"):
+        return lambda ids: [b.decode("utf-8", "surrogatepass") for b in _tiktoken(path).decode_bytes_batch(ids)]
+    import sentencepiece
+
+    s = sentencepiece.SentencePieceProcessor(model_file=path)
+    return lambda ids: [s.decode(i) for i in ids]
+
+
+def comes_back(path: str):
+    """A function of a text column to whether its ids decode to the same text; null stays null."""
+    _check(path)
+
+    @F.pandas_udf("boolean")
+    def same(texts: pd.Series) -> pd.Series:
+        back = decoder(path)(encoder(path)([t or "" for t in texts]))
+        return pd.Series([None if t is None else t == b for t, b in zip(texts, back)])
+
+    return same
+
+
 def public_tokenizers(directory: str = DIRECTORY) -> dict:
     """Name -> token counter, failing for a file that is not there only when it is used."""
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from palmleaf.functions import arrays as A
 from palmleaf.functions import text as X
-from palmleaf.functions.tokenize import DIRECTORY, public_tokenizers, token_ids
+from palmleaf.functions.tokenize import DIRECTORY, FILES, comes_back, public_tokenizers, token_ids
 from palmleaf.operators import curation as C
 from palmleaf.operators import dictionary as D
 from palmleaf.operators import examples as E
@@ -18,6 +19,7 @@ from palmleaf.operators.packed import unpack
 from palmleaf.plans import oracles as O
 from palmleaf.runtime import materialize, read_table, shared_dir
 from palmleaf.sources import jsonl, tables, xlsx
+from palmleaf.sources import reports as texts
 
 
 def _dictionary(spark, d):
@@ -306,11 +308,48 @@ def ratio_checks(spark, d):
     return spark.createDataFrame(rows, "ratios STRING, verdict STRING")
 
 
+def token_round_trips(spark, d):
+    """Texts whose ids decode to the same text again, for the vocabularies of bytes, in one pass."""
+    names = [n for n in FILES if n.startswith("byte_bpe")]
+    docs = read_table(spark, d, "documents").filter("text IS NOT NULL").select(F.col("text"), *(comes_back(f"{DIRECTORY}/{n}")(F.col("text")).alias(f"s{k}") for k, n in enumerate(names)))
+    sums = docs.agg(F.count(F.lit(1)).alias("texts"), *(F.count_if(F.col(f"s{k}")).alias(f"n{k}") for k in range(len(names))))
+    return sums.select("texts", F.explode(F.array(*(F.struct(F.lit(n).alias("tokenizer"), F.col(f"n{k}").alias("same")) for k, n in enumerate(names)))).alias("t")).select("t.tokenizer", "texts", "t.same")
+
+
+def mask_checks(spark, d):
+    """Of the examples with a public tokenizer: labels are masked first and the ids after that, as long as the ids."""
+    x = E.examples(_pairs(spark, d), tokenize=token_ids(f"{DIRECTORY}/byte_bpe_multi_50k.tiktoken"))
+    masked = F.size(F.filter("labels", lambda v: v == A.MASKED))
+    good = (F.slice("labels", masked + 1, F.size("labels")) == F.slice("input_ids", masked + 1, F.size("labels"))) & (F.size("labels") == F.size("input_ids")) & (F.size("attention_mask") == F.size("input_ids")) & (F.size("input_ids") <= 256)
+    return x.agg(F.count(F.lit(1)).alias("examples"), F.every(good).alias("labels_follow"), F.every(masked > 0).alias("prompts_masked"))
+
+
+def reports(spark, d):
+    """The improvement report as text and as JSON."""
+    r = materialize(C.improve_report(_pairs(spark, d)), "report")
+    return spark.createDataFrame([("text", texts.as_text(r, "Improvement")), ("json", texts.as_json(r))], "kind STRING, report STRING")
+
+
+def existence_guards(spark, d):
+    """What is said of inputs that are not there."""
+    rows = []
+    for what, read in (("table", lambda: read_table(spark, d, "no_such_table")), ("lines", lambda: jsonl.read_strict(spark, f"{d}/none.jsonl")), ("workbook", lambda: xlsx.read(spark, f"{d}/none.xlsx")), ("vocabulary", lambda: token_ids(f"{DIRECTORY}/none.model"))):
+        try:
+            read()
+            rows.append((what, "found"))
+        except FileNotFoundError:
+            rows.append((what, "missing"))
+        except AnalysisException as e:
+            rows.append((what, "missing" if "PATH_NOT_FOUND" in str(e) else str(e)))
+    return spark.createDataFrame(rows, "what STRING, verdict STRING")
+
+
 _ALL = (
     p1_found, dictionary_clean, dictionary_standardize, dictionary_issues, dictionary_issue_summary, dictionary_severity_summary, dictionary_fix, dictionary_fix_from_report, instruction_pairs, instruction_quarantine,
     conversation_pairs, merge_corpus, improve_corpus, improve_report, filter_v1, filter_v1_removed, filter_v1_report, filter_v2, filter_v2_removed, filter_v2_report, duplicate_flags, suspicious_records, validate_corpus,
     split_assign, split_stats, split_pair_leaks, split_word_leaks, chat_render, chat_turns, label_mask, padded_batches, token_efficiency, best_tokenizer, public_token_efficiency, label_mask_public, scalar_functions, first_rows, run_projection, templates,
     answer_ids, failing_tokenizers, jsonl_strict, jsonl_skipping_blanks, jsonl_line_numbers, jsonl_checked, jsonl_routes, jsonl_splits, routed_files, sheets, ratio_checks,
+    token_round_trips, mask_checks, reports, existence_guards,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {
@@ -320,4 +359,5 @@ ORACLES = {
     "duplicate_flags": O.DUPLICATES, "suspicious_records": O.SUSPICIOUS, "validate_corpus": O.VALIDATION, "split_assign": O.SPLITS, "split_stats": O.SPLIT_STATS, "split_pair_leaks": O.PAIR_LEAKS, "split_word_leaks": O.WORD_LEAKS,
     "chat_render": O.CHAT, "chat_turns": O.TURNS, "label_mask": O.MASKS, "padded_batches": O.PADDED, "token_efficiency": O.TOKENS, "best_tokenizer": O.BEST, "scalar_functions": O.SCALARS, "first_rows": O.PREVIEW, "run_projection": O.PROJECTION, "templates": O.LITERALS,
     "answer_ids": O.ANSWERS, "failing_tokenizers": O.FAILING, "jsonl_strict": O.LINES, "jsonl_skipping_blanks": O.LINES, "jsonl_line_numbers": O.LINE_NUMBERS, "jsonl_checked": O.CHECKED, "jsonl_routes": O.ROUTES, "jsonl_splits": O.SPLIT_LINES, "routed_files": O.ROUTED, "sheets": O.SHEETS, "ratio_checks": O.RATIOS,
+    "token_round_trips": O.ROUND_TRIPS, "mask_checks": O.MASK_CHECKS, "reports": O.REPORTS, "existence_guards": O.GUARDS,
 }

