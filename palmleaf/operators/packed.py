@@ -214,6 +214,10 @@ def lattice(marks: str) -> list[Edge]:
 
     Spans between the same two kinds never overlap, so there are at most (kinds + 1) a cut: linear in the cell.
     """
+    return _short_lattice(marks) if len(marks) <= 16 else _lattice(marks)
+
+
+def _lattice(marks: str) -> list[Edge]:
     n = len(marks) + 1
     ahead: list[dict[str, int]] = [{}] * (n + 1)  # for each atom, the end of the span up to the next cut of each kind
     ahead[n] = {"": n}
@@ -227,6 +231,9 @@ def lattice(marks: str) -> list[Edge]:
     return out
 
 
+_short_lattice = functools.lru_cache(1 << 14)(_lattice)  # the same few kinds of cuts in most cells
+
+
 def _add(a: float, b: float) -> float:
     if a < b:
         a, b = b, a
@@ -235,11 +242,17 @@ def _add(a: float, b: float) -> float:
 
 def edge_scores(edges: list[Edge], marks: str, weights: list[float], rates: dict[str, float]) -> list[float]:
     """Log score of every edge: the weight of its value, the mark after it parts values, the marks inside it do not."""
-    off = [0.0]
+    on, off = _rate_logs(marks, tuple(rates.items()))
+    return [(math.log(w) if w != 1.0 else 0.0) + on[j - 1] + off[j - 1] - off[i] for (i, j), w in zip(edges, weights)]
+
+
+@functools.lru_cache(1 << 14)
+def _rate_logs(marks: str, rates: tuple) -> tuple[list[float], list[float]]:
+    """(log rate of each mark and 0 for the cell's end, log sums of what the marks before each atom do not part)."""
+    known, off = dict(rates), [0.0]
     for k in marks:
-        off.append(off[-1] + math.log(1 - rates.get(k, EVEN)))
-    on = [math.log(rates.get(k, EVEN)) for k in marks] + [0.0]
-    return [math.log(w) + on[j - 1] + off[j - 1] - off[i] for (i, j), w in zip(edges, weights)]
+        off.append(off[-1] + math.log(1 - known.get(k, EVEN)))
+    return [math.log(known.get(k, EVEN)) for k in marks] + [0.0], off
 
 
 def posteriors(n: int, edges: list[Edge], scores: list[float]) -> list[float]:
@@ -316,7 +329,9 @@ def _spread(seen: dict[str, int]):
                 one = {i: v for (i, j), v in zip(edges, value) if j == i + 1}
                 left = [one[i - 1] if i else cid for i, _ in edges]
                 right = [one[j] if j <= len(cuts) else cid for _, j in edges]
-                rows.append((cid, marks, value, left, right, posteriors(len(cuts) + 1, edges, edge_scores(edges, marks, [1.0] * len(edges), {}))))
+                n = len(edges)  # of one path, of two even ones, or of more
+                post = [1.0] if n == 1 else [0.5] * n if n == len(cuts) + 2 else posteriors(len(cuts) + 1, edges, edge_scores(edges, marks, [1.0] * n, {}))
+                rows.append((cid, marks, value, left, right, post))
             if rows:
                 yield _flat(["cid", "marks", "value", "before", "after", "post"], [_I64, _TEXT, pa.list_(_I64), pa.list_(_I64), pa.list_(_I64), pa.list_(_REAL)], zip(*rows))
 
