@@ -15,9 +15,14 @@ ASK_ONE = (
 )
 
 
+# What may open a question and is no part of it.
+OPENINGS = r"(?i)\A(?:[^\p{L}\p{M}\p{N}]*(?:(?:q|question)\s*[:：]|(?:pls|please)\s*[,，]))+"
+
+
 def question_words(c: Column) -> Column:
-    """The words of an instruction in lower case, one space between them."""
-    return F.trim(F.lower(F.regexp_replace(c.cast("string"), r"[^\p{L}\p{M}\p{N}]+", " ")))
+    """The words of an instruction in lower case, one space between them, without what opens the question."""
+    asked = F.regexp_replace(c.cast("string"), OPENINGS, " ")
+    return F.trim(F.lower(F.regexp_replace(asked, r"[^\p{L}\p{M}\p{N}]+", " ")))
 
 
 def named_in(words: Column, ask_two=ASK_TWO, ask_one=ASK_ONE) -> Column:

@@ -221,7 +221,8 @@ _CASES = " ".join(
     + [f"WHEN regexp_matches(w, '{p}') THEN [regexp_extract(w, '{p}', 1)]" for p in _HEADS_ONE]
 )
 _FOUND3 = rf"""
-WITH RECURSIVE t AS (SELECT record_id, trim(lower(regexp_replace(instruction, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))) AS w FROM train),
+WITH RECURSIVE o AS (SELECT record_id, regexp_replace(instruction, '(?i)^([^\p{{L}}\p{{M}}\p{{N}}]*(q\s*[:：]|question\s*[:：]|pls\s*[,，]|please\s*[,，]))+', '') AS asked FROM train),
+t AS (SELECT record_id, trim(lower(regexp_replace(asked, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))) AS w FROM o),
 h AS (SELECT record_id, unnest(CASE {_CASES} END) AS x FROM t),
 n AS (SELECT record_id, replace(x, ' ', '') AS x FROM h WHERE replace(x, ' ', '') <> ''),
 e AS (SELECT DISTINCT a.x AS x, b.x AS y FROM n a JOIN n b USING (record_id)),
