@@ -182,22 +182,27 @@ def _adjacent(batches):
         keep = (best >= np.maximum(PREFIX, need)) | whole
         return block.filter(pa.array(keep)) if keep.any() else None
 
+    last = None  # the key before
     for batch in batches:
         if not batch.num_rows:
             continue
-        block = pa.Table.from_batches([*waiting, batch]).combine_chunks().to_batches()[0]
-        key = _keys(block)
-        breaks = np.flatnonzero(common(key[1:], key[:-1]) < PREFIX) + 1
+        key = _keys(batch)
+        before = key[:1] if last is None else last
+        breaks = np.flatnonzero(common(key, np.concatenate([before, key[:-1]])) < PREFIX)
+        breaks = breaks[breaks > 0] if last is None else breaks
+        last = key[-1:].copy()
         if not len(breaks):
-            waiting = [block]
+            waiting.append(batch)
             continue
         end = int(breaks[-1])
-        whole = np.zeros(end, bool)
-        whole[: breaks[0] if first else 0] = True
-        out = judged(block.slice(0, end), whole)
-        if out is not None:
-            yield out
-        first, waiting = False, [block.slice(end)]
+        block = pa.Table.from_batches([*waiting, batch.slice(0, end)]).combine_chunks().to_batches()
+        if block:
+            whole = np.zeros(block[0].num_rows, bool)
+            whole[: block[0].num_rows - end + int(breaks[0]) if first else 0] = True
+            out = judged(block[0], whole)
+            if out is not None:
+                yield out
+        first, waiting = False, [batch.slice(end)]
     yield from waiting
 
 

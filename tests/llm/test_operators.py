@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import functions as F
 
 from palmleaf.llm import pair_defects as P
-from palmleaf.llm.cross_split import common, edits, find_overlaps, overlap_classes, stride
+from palmleaf.llm.cross_split import _adjacent, common, edits, find_overlaps, overlap_classes, stride
 from palmleaf.llm.formatting_copies import collapse, runs_of_copies
 from palmleaf.llm.groups import assign_splits, headwords, spanning_forest, tie_by_headword
 from palmleaf.llm.codepoints import Words, gram_hash
@@ -57,6 +57,7 @@ def test_headwords(spark):
     cases = {
         "Translate 'to Run' to Tulu.": ["torun"], "pls, what is the  Tulu meaning of half-grown cat??": ["halfgrowncat"], "Compare the Tulu words for \"a b\" and 'C'.": ["ab", "c"], "translate ‘a‘ and ‘b‘ to tulu": ["a", "b"],
         "I came across \"x\" in a reader; what is it called in Tulu?": ["x"], "Use the Tulu word for 'x' in a sentence.": ["x"], "ಕ?": [], None: [], "": [], "Compare the Tulu words for 'a' and 'A'.": ["a"],
+        "Q: to climb - what do Tulu speakers call it?": ["toclimb"], " question : x; what do Tulu speakers call it": ["x"], "pls, pure cow - what do Tulu speakers call it?": ["purecow"], "Q & A - what do Tulu speakers call it?": ["qa"], "Tulu word for question: x": ["questionx"],
     }
     df = spark.createDataFrame([(k, c) for k, c in enumerate(cases)], "k INT, c STRING")
     assert [r[1] for r in sorted(df.select("k", headwords(F.col("c"))).collect())] == list(cases.values())
@@ -205,6 +206,30 @@ def test_one_opening_of_all_records(spark):
     assert {(r["train_id"], r["eval_id"]) for r in got.collect()} >= {(k, 10_000 + k) for k in range(0, 1500, 10)}
 
 
+def test_neighbours_in_any_batches():
+    """The scan of the sorted array gives the same rows however it is cut into batches, and they are the right ones."""
+    rng = np.random.default_rng(4)
+    words_ = rng.integers(0, 2, (400, 12)).astype(np.uint8)
+    key = np.zeros((400, 44), np.uint8)
+    key[:, 8::3] = words_
+    key[:, 7] = rng.integers(0, 3, 400)
+    key = key[np.lexsort(key.T[::-1])]
+    side, need = rng.integers(0, 8, 400) == 0, rng.integers(5, 10, 400)
+    need[side] = 0
+    batch = pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in key], pa.binary()), pa.array(side.astype(np.int8)), pa.array(need.astype(np.int8)), pa.array(range(400))], names=["key", "side", "need", "id"])
+    want = []
+    for k in range(400):
+        near = common(np.repeat(key[k : k + 1], 400, axis=0), key)
+        if near[side != side[k]].max() >= max(5, need[k]):
+            want.append(k)
+    breaks = np.flatnonzero(common(key[1:], key[:-1]) < 5) + 1
+    ends = {*range(breaks[0]), *range(breaks[-1], 400)}  # these may go on in the next partition
+    for size in (400, 1, 7, 50):
+        got = [i for b in _adjacent(batch.slice(lo, size) for lo in range(0, 400, size)) for i in b.column(3).to_pylist()]
+        assert got == sorted({*want, *ends})
+    assert 20 < len(want) < 380
+
+
 def test_common_prefixes():
     a = np.zeros((3, 44), np.uint8)
     b = a.copy()
