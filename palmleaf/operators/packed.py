@@ -428,7 +428,8 @@ def unpack(df: DataFrame, key: str, column: str, *, settled: float = 0.01, max_r
     the other cells (a new value weighs 1). Texts that always have the same text before or after them, wherever they
     occur, give no evidence: they may be pieces of something longer. The first round counts only what the values tell
     about the marks; later rounds use the marks' rates too, and the rounds end when no rate moves by more than `settled`
-    (that they do not within max_rounds is an error). Ties part.
+    (that they do not within max_rounds is an error; from the ninth round on rates move half as far as in the round
+    before, so they do). Ties part.
 
     Each round sends the edges whose value other cells have as well to that value's count and back; all other edges stay.
     Values that more than 1/64 of these edges have are joined by broadcast. A cell that a third of all rows repeat is
@@ -467,6 +468,8 @@ def unpack(df: DataFrame, key: str, column: str, *, settled: float = 0.01, max_r
         nxt = materialize(ready.mapInArrow(_learn(rates), STEP), "step")
         stats = nxt.filter("kind IS NOT NULL").groupBy("kind").agg(*(F.sum(c).alias(c) for c in ("part", "hold", "sure_part", "sure_hold"))).collect()  # at most one row per mark
         now = _rates({r["kind"]: (r["part"], r["hold"]) if turn else (r["sure_part"], r["sure_hold"]) for r in stats})
+        pull = 0.5 ** max(0, turn - 7)
+        now = {k: rates.get(k, EVEN) + pull * (x - rates.get(k, EVEN)) for k, x in now.items()}
         drop_materialized(step)
         step = nxt
         moved = max((abs(now[k] - rates.get(k, EVEN)) for k in now), default=0.0)
