@@ -1,4 +1,8 @@
 import json
+import os
+import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +153,64 @@ def test_public_tokenizers(spark):
     assert 0 < r["labels"].count(-100) < len(r["labels"])
 
 
+ODD = ["a", "Ka", "ಕಿ", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "\u180e", "\u200b", "　", "1", "'s", ".", "😀", "<|endoftext|>", "é", "e\u0301"]
+
+
+def test_round_trips_are_those_of_whole_texts(spark, monkeypatch):
+    from palmleaf.functions import tokenize as K
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(ODD) for _ in range(rng.randrange(40))) for _ in range(400)] + ["", "word " * 40_000, "ಕಿ" * 300, "\n" * 200 + "x", "ಕಿ，1b'sx." * 10_000, "ಕಿ，" * 30_000 + "K"]
+    df = spark.createDataFrame([*enumerate(texts), (len(texts), None)], "pos INT, text STRING")
+    for n in K.FILES:
+        path = f"{K.DIRECTORY}/{n}"
+        encode, decode = K.encoder(path), K.decoder(path)
+        plain = [decode(encode([t]))[0] == t for t in texts]
+        assert [r[0] for r in df.orderBy("pos").select(K.comes_back(path)("text")).collect()] == [*plain, None]
+        with monkeypatch.context() as m:  # a decoder that loses characters
+            m.setattr(K, "decoder", lambda p, d=decode: lambda ids: [b.replace("K", "").replace("😀", "?") for b in d(ids)])
+            assert list(K.RoundTrips(path).check(texts)) == [p and "K" not in t and "😀" not in t for t, p in zip(texts, plain)]
+
+
+def test_round_trips_encode_a_stretch_once_and_a_group_at_a_time(monkeypatch):
+    from palmleaf.functions import tokenize as K
+
+    for n in (n for n in K.FILES if n.startswith("byte_bpe")):
+        sizes, encode = [], K.encoder(f"{K.DIRECTORY}/{n}")
+        with monkeypatch.context() as m:
+            m.setattr(K, "encoder", lambda p, e=encode, s=sizes: lambda texts: (s.append(sum(map(len, texts))), e(texts))[1])
+            trips = K.RoundTrips(f"{K.DIRECTORY}/{n}")
+        assert all(trips.check(["word " * 20_000, "a word"] * 50)) and sum(sizes) < 20
+        sizes.clear()
+        texts = [" ".join(f"{k}x{j}" for j in range(200)) for k in range(500)]
+        assert all(trips.check(texts)) and max(sizes) <= K.GROUP < sum(sizes)
+        sizes.clear()
+        assert all(trips.check(texts[-9:])) and not sizes
+        assert all(trips.check(["ಕಿ，1b'sx." * 10_000])) and max(sizes) <= K.GROUP < sum(sizes)
+        assert 0 < len(trips.known) <= K.KNOWN
+        for lo in range(0, 0x3200, 500):  # any character between others
+            forms = [f"{k}{c}{c} {c}'{c}s{c}\n\n{c}1{c}\u3000{c}ಕಿ" for c in map(chr, range(lo, lo + 500)) if not "\ud800" <= c <= "\udfff" for k in ("a ", "..")]
+            for pattern in (K.STRETCH, K.RUN):
+                assert encode(forms) == [sum(encode(pattern.findall(t)), []) for t in forms]
+
+
+def test_round_trips_take_bounded_memory():
+    """A batch of 2,000 texts of 600 characters through the three vocabularies of bytes: it took 853 MB at once."""
+    code = """
+import resource, pandas as pd
+from palmleaf.functions import tokenize as K
+K.F.pandas_udf = lambda kind: lambda f: f
+texts = pd.Series(["".join(chr(0xC95 + (k * 7 + j * j) % 31) + ("\\u0cbf " if j % 5 == 0 else "\\u0cc1") for j in range(600)) for k in range(2000)])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for n in K.FILES[:3]:
+    assert K.comes_back(f"{K.DIRECTORY}/{n}")(texts).all()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(__file__)), capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout) < 300
+
+
 def test_keep_first_with_a_hot_key(spark):
     df = spark.range(3000).select(F.col("id").alias("pos"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.lit(1).alias("is_first"))
     k = keep_first(df, [F.col("k")], "pos")
